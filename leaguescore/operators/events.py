@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,24 +17,13 @@ def events_of(plays: DataFrame, rules: Sequence[EventRule]) -> DataFrame:
 
     Plays that meet no rule are dropped first; that filter is part of the scan stage.
     """
-    hits = [F.expr(rule.when) for rule in rules]
-    credits = [
-        F.when(
-            hit,
-            F.struct(
-                F.col(rule.team).alias("team_abbr"),
-                rule.player_name().alias("player_name"),
-                rule.player_id().alias("player_id"),
-                F.lit(rule.points).cast("bigint").alias("points_each"),
-            ),
-        ).alias(rule.label)
-        for rule, hit in zip(rules, hits)
-    ]
     return (
-        plays.where(reduce(lambda left, right: left | right, hits))
-        .select("week", "season_type", *credits)
+        plays.where(" OR ".join(f"({rule.when})" for rule in rules))
+        .selectExpr(
+            "week", "season_type", *[f"{rule.credit()} AS {rule.label}" for rule in rules]
+        )
         .unpivot(["week", "season_type"], [r.label for r in rules], "stat_label", "credit")
-        .where(F.col("credit").isNotNull())
+        .where("credit IS NOT NULL")
         .select("week", "season_type", "stat_label", "credit.*")
     )
 

@@ -78,10 +78,8 @@ def people_of(players: DataFrame) -> DataFrame:
 
 
 def people_dimension(players: DataFrame | Dimension) -> Dimension:
-    """``people_of`` as a dimension; a measured player dimension is not measured again."""
-    if isinstance(players, Dimension):
-        return Dimension(people_of(players.frame), players.fits)
-    return measured(people_of(players))
+    """``people_of`` the players, measured; such a dimension is passed through."""
+    return players if isinstance(players, Dimension) else measured(people_of(players))
 
 
 def join_players(

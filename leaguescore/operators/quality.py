@@ -27,12 +27,10 @@ SHEET_RULES = (
 )
 
 
-def codes_seen(code: Column) -> Column:
+def codes_seen(code: str) -> Column:
     """One bit for each minimum position code; a fixed-size state for any number of rows."""
-    bit = F.lit(0)
-    for place, wanted in enumerate(MINIMUM_POSITIONS):
-        bit = F.when(code == wanted, F.lit(1 << place)).otherwise(bit)
-    return F.bit_or(bit)
+    bits = [f"WHEN '{wanted}' THEN {1 << n}" for n, wanted in enumerate(MINIMUM_POSITIONS)]
+    return F.expr(f"bit_or(CASE {code} {' '.join(bits)} ELSE 0 END)")
 
 
 def sheet_facts(sheets: DataFrame) -> DataFrame:
@@ -43,9 +41,7 @@ def sheet_facts(sheets: DataFrame) -> DataFrame:
     meet, so a sheet of any length is spread over tasks.
     """
     columns = [c for c in sheets.columns if c != "sheet"]
-    any_null = F.lit(False)
-    for name in columns:
-        any_null = any_null | F.col(f"`{name}`").isNull()
+    any_null = F.expr(" OR ".join(f"`{name}` IS NULL" for name in columns))
     return sheets.groupBy("sheet").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct(F.struct("player_id")).alias("n_ids"),
@@ -54,7 +50,7 @@ def sheet_facts(sheets: DataFrame) -> DataFrame:
             F.min(F.when(F.col("roster_index") == 2, F.col("fantasy_team"))),
             F.min("fantasy_team"),
         ).alias("team_name"),
-        codes_seen(F.col("position_code")).alias("codes"),
+        codes_seen("position_code").alias("codes"),
         F.count_if(not_in(F.col("position_code"), MINIMUM_POSITIONS)).alias("n_extra"),
         F.count_if(not_in(F.col("position_code"), MINIMUM_POSITIONS + EXTRA_POSITIONS)).alias(
             "n_foreign"

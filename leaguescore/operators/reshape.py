@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leaguescore.functions import fill_zero
+from leaguescore.functions import exact_long
 
 
 def melt(df: DataFrame, ids: Sequence[str], stats: Sequence[str]) -> DataFrame:
@@ -22,23 +22,27 @@ def melt_scored(
     df: DataFrame,
     ids: Sequence[str],
     stats: Sequence[str],
-    points: Mapping[str, Callable[[Column], Column]],
+    scores: Mapping[str, Callable[[str], str]],
 ) -> DataFrame:
     """One row per stat with its points.
 
-    Each stat column becomes a (value, points) pair before the unpivot, so the
-    rule of a stat is picked when the plan is built and not row by row through a
-    long CASE on the label. Missing values count as 0; so do stats without a rule.
+    Each stat is stacked as (label, value, points), so its rule is picked when
+    the plan is built and not row by row through a long CASE on the label. The
+    exact cast comes once, after the stack, which keeps the generated code small
+    enough to be compiled. Missing values count as 0; so do stats without a rule.
     """
-    pairs = []
+    cells = []
     for stat in stats:
-        value = fill_zero(F.col(stat).cast("double"))
-        scored = points[stat](value) if stat in points else F.lit(0).cast("bigint")
-        pairs.append(
-            F.struct(value.alias("football_value"), scored.alias("fantasy_points")).alias(stat)
-        )
-    long = df.select(*ids, *pairs).unpivot(list(ids), list(stats), "stat_label", "pair")
-    return long.select(*ids, "stat_label", "pair.football_value", "pair.fantasy_points")
+        value = f"coalesce(cast({stat} AS double), 0D)"
+        score = scores[stat](value) if stat in scores else "0"
+        cells += [f"'{stat}'", value, f"cast({score} AS double)"]
+    stacked = F.expr(f"stack({len(stats)}, {', '.join(cells)})")
+    return df.select(*ids, stacked.alias("stat_label", "football_value", "score")).select(
+        *ids,
+        "stat_label",
+        "football_value",
+        exact_long(F.col("score")).alias("fantasy_points"),
+    )
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -52,16 +56,11 @@ def points_against(games: DataFrame) -> DataFrame:
     Equal rows are made one within the home side and within the away side, not
     across them; hence the side is part of the distinct key.
     """
-    sides = F.array(
-        F.struct(
-            F.lit("home").alias("side"),
-            F.col("home_team").alias("team_abbr"),
-            F.col("away_score").cast("double").alias("football_value"),
-        ),
-        F.struct(
-            F.lit("away").alias("side"),
-            F.col("away_team").alias("team_abbr"),
-            F.col("home_score").cast("double").alias("football_value"),
-        ),
+    sides = F.expr(
+        """inline(array(
+            struct('home' AS side, home_team AS team_abbr,
+                   cast(away_score AS double) AS football_value),
+            struct('away' AS side, away_team AS team_abbr,
+                   cast(home_score AS double) AS football_value)))"""
     )
-    return games.select("week", "season_type", F.inline(sides)).distinct().drop("side")
+    return games.select("week", "season_type", sides).distinct().drop("side")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguescore.functions import is_not, true_if_missing
-from leaguescore.operators.joins import Dimension, attach, measured, people_of
+from leaguescore.operators.joins import Dimension, measured, people_dimension, people_of
 from leaguescore.operators.reshape import union_all
 from leaguescore.plans.bonuses import (
     bonus_counts,
@@ -53,7 +53,7 @@ class League:
     plays: DataFrame
     games: DataFrame
     teams: Dimension
-    players: Dimension
+    players: DataFrame
     seasons: tuple[str, ...]
 
 
@@ -94,10 +94,11 @@ def scored_report(picks: DataFrame, scored: DataFrame) -> DataFrame:
 
 def all_scored_stats(league: League) -> DataFrame:
     """Every scored row of the league."""
+    people = people_dimension(league.players)
     return union_all(
-        offense_stats(league.offense, league.seasons, league.players, league.teams),
-        offense_bonus(league.plays, league.players, league.teams),
-        kicker_stats(league.kicking, league.seasons, league.players, league.teams),
+        offense_stats(league.offense, league.seasons, people, league.teams),
+        offense_bonus(league.plays, people, league.teams),
+        kicker_stats(league.kicking, league.seasons, people, league.teams),
         points_allowed(league.games, league.seasons, league.teams),
         defense_bonus(league.plays, league.teams),
     )
@@ -129,7 +130,7 @@ def league_report(picks: DataFrame, league: League) -> DataFrame:
     before the melt multiplies it by 13, and rows of players nobody picked go no
     further. Player ids of the facts are ids or missing, never the team marker.
     """
-    picked = measured(picked_people(picks, league.players.frame))
+    picked = measured(picked_people(picks, league.players))
     player_rows = (
         score_wide(
             offense_wide(league.offense, league.seasons),

@@ -25,7 +25,7 @@ from leaguescore.rules import (
     FloorDiv,
     Linear,
     compile_bands,
-    points_by_label,
+    scores_by_label,
 )
 from leaguescore.schemas import (
     DEFENSE_POSITION,
@@ -76,7 +76,7 @@ def score_wide(
     in place of one per stat.
     """
     described = join_players(join_teams(wide, teams), people, carry, how)
-    return melt_scored(described, (*SCORED_IDS, *carry), stats, points_by_label(rules))
+    return melt_scored(described, (*SCORED_IDS, *carry), stats, scores_by_label(rules))
 
 
 def offense_stats(
@@ -136,6 +136,6 @@ def points_allowed(
     """Points of every defense for the scores against it, from games or from plays."""
     against = points_against(nan_to_null(in_seasons(games, seasons)))
     scored = against.withColumn("stat_label", F.lit(POINTS_ALLOWED_LABEL)).withColumn(
-        "fantasy_points", compile_bands(bands, F.col("football_value"))
+        "fantasy_points", compile_bands(bands, "football_value")
     )
     return describe_defense(scored, teams)

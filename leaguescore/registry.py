@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +25,8 @@ from leaguescore.functions import (
 )
 from leaguescore.operators import quality
 from leaguescore.operators.events import EVENT_KEYS, count_events, events_of
-from leaguescore.operators.joins import Dimension, join_players, join_teams, measured, people_of
-from leaguescore.operators.reshape import melt, points_against, union_all
+from leaguescore.operators.joins import Dimension, join_players, join_teams, measured, people_dimension
+from leaguescore.operators.reshape import melt, melt_scored, points_against, union_all
 from leaguescore.plans import bonuses, dimensions, report, rosters, stats
 from leaguescore.rules import (
     DEFENSE_EVENTS,
@@ -36,7 +36,7 @@ from leaguescore.rules import (
     POINTS_ALLOWED_BANDS,
     FloorDiv,
     compile_bands,
-    compile_points,
+    scores_by_label,
 )
 from leaguescore.schemas import (
     BONUS_POSITIONS,
@@ -67,7 +67,8 @@ class Inputs:
     """Staged frames and dimensions of one data folder, built when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.view = partial(staged, spark, sf_dir)
+        self.table = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        self.view = cache(lambda name: staged(spark, name, self.table))
 
     def teams(self) -> Dimension:
         return measured(
@@ -77,10 +78,6 @@ class Inputs:
     def players(self, teams: Dimension) -> DataFrame:
         return dimensions.players(self.view("v_roster"), teams)
 
-    def player_dim(self, teams: Dimension) -> Dimension:
-        players = self.players(teams)
-        return Dimension(players, measured(people_of(players)).fits)
-
     def offense(self) -> DataFrame:
         return stats.offense_wide(self.view("v_offense"), SEASONS)
 
@@ -107,7 +104,7 @@ class Inputs:
             plays=self.plays(),
             games=self.view("v_games"),
             teams=teams,
-            players=self.player_dim(teams),
+            players=self.players(teams),
             seasons=SEASONS,
         )
 
@@ -325,7 +322,7 @@ def described_offense(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
     teams = inputs.teams()
     return join_players(
-        join_teams(inputs.offense(), teams), measured(people_of(inputs.players(teams)))
+        join_teams(inputs.offense(), teams), people_dimension(inputs.players(teams))
     )
 
 
@@ -380,7 +377,7 @@ def join_fanout(spark, sf_dir):
 @query
 def trade_flag(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
-    people = measured(people_of(inputs.players(inputs.teams())))
+    people = people_dimension(inputs.players(inputs.teams()))
     return (
         inputs.kicking()
         .select("player_id", "week", "team_abbr")
@@ -477,10 +474,10 @@ def sheet_violations(spark, sf_dir):
 def audit_counts(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
     league = inputs.league()
-    people = Dimension(people_of(league.players.frame), league.players.fits)
+    people = people_dimension(league.players)
     parts = {
-        "offense": stats.offense_stats(league.offense, SEASONS, league.players, league.teams),
-        "kicking": stats.kicker_stats(league.kicking, SEASONS, league.players, league.teams),
+        "offense": stats.offense_stats(league.offense, SEASONS, people, league.teams),
+        "kicking": stats.kicker_stats(league.kicking, SEASONS, people, league.teams),
         "player_bonus": bonuses.describe_player_bonus(
             bonuses.bonus_counts(league.plays, OFFENSE_EVENTS), league.teams, people
         ),
@@ -526,35 +523,25 @@ def sort_roster(spark, sf_dir):
 # Scoring rules
 
 
-def long_scored(long: DataFrame, rules) -> DataFrame:
-    value = fill_zero(F.col("football_value"))
-    return long.select(
-        "player_id",
-        "week",
-        "stat_label",
-        value.alias("football_value"),
-        compile_points(rules, F.col("stat_label"), value).alias("fantasy_points"),
-    )
+def score(df: DataFrame, stat_columns, rules) -> DataFrame:
+    return melt_scored(df, ("player_id", "week"), stat_columns, scores_by_label(rules))
 
 
 @query
 def score_yardage(spark, sf_dir):
     rules = [r for r in OFFENSE_RULES if isinstance(r, FloorDiv)]
-    long = melt(Inputs(spark, sf_dir).offense(), STAT_IDS, [r.label for r in rules])
-    return long_scored(long, rules)
+    return score(Inputs(spark, sf_dir).offense(), [r.label for r in rules], rules)
 
 
 @query
 def score_linear(spark, sf_dir):
     rules = [r for r in OFFENSE_RULES if not isinstance(r, FloorDiv)]
-    long = melt(Inputs(spark, sf_dir).offense(), STAT_IDS, [r.label for r in rules])
-    return long_scored(long, rules)
+    return score(Inputs(spark, sf_dir).offense(), [r.label for r in rules], rules)
 
 
 @query
 def score_kicking(spark, sf_dir):
-    long = melt(Inputs(spark, sf_dir).kicking(), STAT_IDS, KICKING_STATS)
-    return long_scored(long, KICKING_RULES)
+    return score(Inputs(spark, sf_dir).kicking(), KICKING_STATS, KICKING_RULES)
 
 
 @query
@@ -564,7 +551,7 @@ def score_bands(spark, sf_dir):
         "week",
         "home_team",
         "home_score",
-        compile_bands(POINTS_ALLOWED_BANDS, F.col("home_score")).alias("fantasy_points"),
+        compile_bands(POINTS_ALLOWED_BANDS, "home_score").alias("fantasy_points"),
     )
 
 

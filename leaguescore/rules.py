@@ -1,6 +1,7 @@
 """Scoring rules as data.
 
 A league changes its scoring by passing other rule lists; no plan names a rule.
+Rules turn into SQL expressions over the columns they are about.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leaguescore.functions import exact_long, fill_zero, floor_div
 from leaguescore.schemas import NO_PLAYER
 
 
@@ -22,8 +22,8 @@ class Linear:
     label: str
     weight: int
 
-    def points(self, value: Column) -> Column:
-        return exact_long(value * F.lit(self.weight))
+    def score(self, value: str) -> str:
+        return f"{value} * {self.weight}"
 
 
 @dataclass(frozen=True)
@@ -35,9 +35,9 @@ class FloorDiv:
     bonus_at: int
     bonus: int
 
-    def points(self, value: Column) -> Column:
-        whole = floor_div(value, self.divisor)
-        return F.when(value >= self.bonus_at, whole + self.bonus).otherwise(whole)
+    def score(self, value: str) -> str:
+        bonus = f"IF({value} >= {self.bonus_at}, {self.bonus}, 0)"
+        return f"floor({value} / {self.divisor}) + {bonus}"
 
 
 @dataclass(frozen=True)
@@ -63,11 +63,15 @@ class EventRule:
     points: int
     role: str | None = None
 
-    def player_id(self) -> Column:
-        return F.col(f"{self.role}_player_id") if self.role else F.lit(NO_PLAYER)
-
-    def player_name(self) -> Column:
-        return F.col(f"{self.role}_player_name") if self.role else F.lit(NO_PLAYER)
+    def credit(self) -> str:
+        """The credit of one play, null when the play does not meet the condition."""
+        nobody = f"'{NO_PLAYER}'"
+        player_id = f"{self.role}_player_id" if self.role else nobody
+        player_name = f"{self.role}_player_name" if self.role else nobody
+        return (
+            f"IF({self.when}, struct({self.team} AS team_abbr, {player_name} AS player_name,"
+            f" {player_id} AS player_id, {self.points}L AS points_each), NULL)"
+        )
 
 
 # --- fixed values: the league's scoring --------------------------------------
@@ -187,27 +191,19 @@ DEFENSE_EVENTS = (
 # --- end of fixed values -----------------------------------------------------
 
 
-def points_by_label(
+def scores_by_label(
     rules: Sequence[Linear | FloorDiv],
-) -> dict[str, Callable[[Column], Column]]:
+) -> dict[str, Callable[[str], str]]:
     """The rule of every label, for ``melt_scored``."""
-    return {rule.label: rule.points for rule in rules}
-
-
-def compile_points(rules: Sequence[Linear | FloorDiv], label: Column, value: Column) -> Column:
-    """Points of rows that are long already: one CASE on the label, 0 without a rule."""
-    result = F.when(F.lit(False), F.lit(0).cast("bigint"))
-    for rule in rules:
-        result = result.when(label == rule.label, rule.points(value))
-    return fill_zero(result)
+    return {rule.label: rule.score for rule in rules}
 
 
-def compile_bands(bands: Sequence[Band], value: Column) -> Column:
+def compile_bands(bands: Sequence[Band], value: str) -> Column:
     """Points of the band a value is in; null for a missing value and between bands."""
-    result = F.when(F.lit(False), F.lit(0).cast("bigint"))
+    cases = []
     for band in bands:
-        inside = value >= band.low
+        inside = f"{value} >= {band.low}"
         if band.high is not None:
-            inside = inside & (value <= band.high)
-        result = result.when(inside, F.lit(band.points).cast("bigint"))
-    return result
+            inside += f" AND {value} <= {band.high}"
+        cases.append(f"WHEN {inside} THEN {band.points}L")
+    return F.expr(f"CASE {' '.join(cases)} END")

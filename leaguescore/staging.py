@@ -9,6 +9,7 @@ type that the dimensions or the scope do not know.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +30,14 @@ SELECT
     r_name AS team_conf,
     r_name || ' D' || cast(n_nationkey % 4 AS string) AS team_division,
     'logo/' || lower(n_name) || '.png' AS team_logo_espn
-FROM {nation} JOIN {region} ON n_regionkey = r_regionkey CROSS JOIN (SELECT 1 AS x UNION ALL SELECT 2) AS twice
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
+UNION ALL
+SELECT
+    'T' || lpad(cast(n_nationkey AS string), 2, '0') AS team_abbr,
+    r_name AS team_conf,
+    r_name || ' D' || cast(n_nationkey % 4 AS string) AS team_division,
+    'logo/' || lower(n_name) || '.png' AS team_logo_espn
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
 """,
     # Two ids are missing; one segment is out of the scoring positions.
     "v_roster": """
@@ -213,9 +221,9 @@ def inputs_of(view: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", VIEWS[view])))
 
 
-def staged(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in inputs_of(view)}
-    return spark.sql(VIEWS[view], **tables)
+def staged(spark: SparkSession, view: str, table: Callable[[str], DataFrame]) -> DataFrame:
+    """A view over the frames that ``table`` gives for the names it reads."""
+    return spark.sql(VIEWS[view], **{name: table(name) for name in inputs_of(view)})
 
 
 def view_sql(view: str) -> str:
