@@ -54,7 +54,7 @@ def snapshot_freshness(remote: DataFrame, local: DataFrame) -> DataFrame:
 
 
 def list_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """The files (or dataset folders) of a folder as (path, file_name), contents unread."""
+    """The files of a folder as (path, file_name); their contents are not read."""
     paths = spark.read.format("binaryFile").load(folder).select("path")
     return paths.withColumn("file_name", F.url_decode(F.element_at(F.split("path", "/"), -1)))
 

@@ -1,0 +1,171 @@
+"""Roster sheets: scanning, checks, consolidation and writing."""
+
+import csv
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from leaguescore import sinks
+from leaguescore.operators.quality import SHEET_RULES, sheet_violations
+from leaguescore.plans.rosters import SheetViolation, consolidate
+from leaguescore.schemas import MINIMUM_POSITIONS, PICK_COLUMNS, SHEET_HEADERS, TEAM_LIST_SCHEMA
+from leaguescore.sources import (
+    check_sheet_columns,
+    read_picks,
+    scan_csv,
+    scan_sheets,
+    sheets_from_headers,
+)
+
+TOKEN = "League [A] 2024"
+CODES = [*MINIMUM_POSITIONS[:-1], "RB4", "D"]
+
+
+def rows_of(owner="Dick Butkus", team="Team 1", **changes):
+    """Fourteen good rows; a change is {column: {row: value}} by report name."""
+    rows = []
+    for i, code in enumerate(CODES):
+        row = {
+            "fantasy_owner": owner,
+            "fantasy_owner_email": "me@example.org",
+            "fantasy_team": team,
+            "player_id": f"{team}-{i}",
+            "roster_index": i + 1,
+            "position_type": "Player",
+            "position_code": code,
+            "position_group": "G",
+            "team_abbr": "T01",
+            "selection": "some text, with a comma",
+            "selection_is_unique": "TRUE",
+            "team_is_unique": "TRUE",
+        }
+        for name, at in changes.items():
+            row[name] = at.get(i, row[name])
+        rows.append(row)
+    return rows
+
+
+def write_sheet(folder, name, rows, headers=SHEET_HEADERS):
+    with open(f"{folder}/{name}", "w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(headers)
+        writer.writerows([row[SHEET_HEADERS[h]] for h in headers] for row in rows)
+
+
+@pytest.fixture
+def folder():
+    return tempfile.mkdtemp(prefix="sheets-")
+
+
+def scanned(spark, folder):
+    return sheets_from_headers(scan_sheets(spark, folder, TOKEN))
+
+
+def broken_rules(spark, folder, strict=False):
+    rows = sheet_violations(scanned(spark, folder), strict).where("NOT ok").collect()
+    return sorted((r["sheet"], r["rule"]) for r in rows)
+
+
+def test_scan_reads_only_named_csv_files(spark, folder):
+    write_sheet(folder, f"{TOKEN} one.csv", rows_of())
+    write_sheet(folder, "Other one.csv", rows_of())
+    write_sheet(folder, f"{TOKEN} old.txt", rows_of())
+    sheets = scanned(spark, folder)
+    assert [r["sheet"] for r in sheets.select("sheet").distinct().collect()] == [f"{TOKEN} one.csv"]
+    assert sheets.count() == 14
+    first = sheets.where("roster_index = 1").first()
+    assert first["selection_is_unique"] is True and first["selection"] == "some text, with a comma"
+
+
+def test_good_sheets_pass(spark, folder):
+    write_sheet(folder, f"{TOKEN} 1.csv", rows_of())
+    write_sheet(folder, f"{TOKEN} 2.csv", rows_of(owner="Mary Jo Smith", team="Team 2"))
+    assert broken_rules(spark, folder, strict=True) == []
+    picks = consolidate(scanned(spark, folder))
+    assert picks.columns == list(PICK_COLUMNS) and picks.count() == 28
+    owners = {r["fantasy_owner"] for r in picks.collect()}
+    assert owners == {"Dick B", "Mary Jo S"}
+
+
+@pytest.mark.parametrize(
+    "rows, rules",
+    [
+        (rows_of()[:13], {"length", "min_positions"}),
+        (rows_of(player_id={3: "Team 1-2"}), {"unique_ids"}),
+        (rows_of(fantasy_team={i: f"N{i}" for i in range(14)}), {"team_name"}),
+        (rows_of(position_code={0: "RB4"}), {"min_positions", "extra_position"}),
+        (rows_of(position_code={12: "XX"}), {"extra_position"}),
+        (rows_of(selection={5: "n/a"}), {"nulls"}),
+        (rows_of(roster_index={5: "five"}), {"nulls"}),
+    ],
+)
+def test_broken_sheet(spark, folder, rows, rules):
+    write_sheet(folder, f"{TOKEN} bad.csv", rows)
+    write_sheet(folder, f"{TOKEN} good.csv", rows_of(team="Team 2"))
+    assert broken_rules(spark, folder) == sorted((f"{TOKEN} bad.csv", r) for r in rules)
+    with pytest.raises(SheetViolation, match="bad.csv"):
+        consolidate(scanned(spark, folder))
+    kept = consolidate(scanned(spark, folder), on_violation="drop")
+    assert {r["fantasy_team"] for r in kept.collect()} == {"Team 2"} and kept.count() == 14
+
+
+def test_team_name_on_two_sheets(spark, folder):
+    for n in (1, 2):
+        write_sheet(folder, f"{TOKEN} {n}.csv", rows_of())
+    write_sheet(folder, f"{TOKEN} 3.csv", rows_of(team="Team 2"))
+    assert broken_rules(spark, folder) == [(f"{TOKEN} {n}.csv", "cross_unique") for n in (1, 2)]
+
+
+def test_strict_team_name(spark, folder):
+    write_sheet(folder, f"{TOKEN} 1.csv", rows_of(fantasy_team={13: "Typo"}))
+    assert broken_rules(spark, folder) == []
+    assert broken_rules(spark, folder, strict=True) == [(f"{TOKEN} 1.csv", "team_name")]
+
+
+def test_one_row_per_sheet_and_rule(spark, folder):
+    write_sheet(folder, f"{TOKEN} 1.csv", rows_of())
+    assert sheet_violations(scanned(spark, folder)).count() == len(SHEET_RULES)
+
+
+def test_on_violation_is_checked(spark):
+    with pytest.raises(ValueError):
+        consolidate(None, on_violation="ignore")
+
+
+def test_wrong_header_fails(spark, folder):
+    headers = list(SHEET_HEADERS)
+    write_sheet(folder, f"{TOKEN} 1.csv", rows_of(), [headers[1], headers[0], *headers[2:]])
+    with pytest.raises(Exception, match="header"):
+        scan_sheets(spark, folder, TOKEN).collect()
+
+
+def test_column_set():
+    check_sheet_columns(list(reversed(SHEET_HEADERS)))
+    with pytest.raises(ValueError, match="12 columns"):
+        check_sheet_columns(list(SHEET_HEADERS)[1:])
+    with pytest.raises(ValueError, match="unknown"):
+        check_sheet_columns([*list(SHEET_HEADERS)[1:], "Extra"])
+
+
+def test_write_and_read_picks(spark, folder):
+    write_sheet(folder, f"{TOKEN} 1.csv", rows_of())
+    picks = consolidate(scanned(spark, folder))
+    path = sinks.write_picks(picks, f"{folder}/out", "2024-12-20 1322")
+    back = read_picks(spark, path)
+    assert back.schema.simpleString() == picks.schema.simpleString()
+    assert back.exceptAll(picks).isEmpty() and picks.exceptAll(back).isEmpty()
+    with pytest.raises(Exception, match="exists"):
+        sinks.write_picks(picks, f"{folder}/out", "2024-12-20 1322")
+    renamed = picks.withColumnRenamed("team_abbr", "team")
+    other = sinks.write_csv(renamed, f"{folder}/other", "1")
+    with pytest.raises(ValueError, match="header"):
+        read_picks(spark, other)
+
+
+def test_scan_csv(spark, folder):
+    with open(f"{folder}/teams.csv", "w") as out:
+        out.write("season,team,full\n2024,T01,One\n2024,NA,\n")
+    df = scan_csv(spark, f"{folder}/teams.csv", TEAM_LIST_SCHEMA)
+    assert sorted(map(tuple, df.collect()), key=str) == [(2024, "T01", "One"), (2024, None, None)]
+    assert df.where(F.col("season") == 2023).isEmpty()
