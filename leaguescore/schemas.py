@@ -181,22 +181,12 @@ SHEET_HEADERS = {
     "Check 2 - Team is Unique": "team_is_unique",
 }
 
-SHEET_SCHEMA = T.StructType(
-    [
-        T.StructField("Fantasy Owner", T.StringType()),
-        T.StructField("Fantasy Owner Email", T.StringType()),
-        T.StructField("Fantasy Team Name", T.StringType()),
-        T.StructField("Automation Mapping", T.StringType()),
-        T.StructField("Roster", T.IntegerType()),
-        T.StructField("Position Type", T.StringType()),
-        T.StructField("Position Code", T.StringType()),
-        T.StructField("Position Group", T.StringType()),
-        T.StructField("Team Abbr.", T.StringType()),
-        T.StructField("Selection", T.StringType()),
-        T.StructField("Check 1 - Selection is Unique", T.BooleanType()),
-        T.StructField("Check 2 - Team is Unique", T.BooleanType()),
-    ]
-)
+# Types of the sheet columns that are not text.
+SHEET_TYPES = {
+    "roster_index": "int",
+    "selection_is_unique": "boolean",
+    "team_is_unique": "boolean",
+}
 
 # Dropped at consolidation: personal data and the sheet's own helper columns.
 SHEET_DROPPED = (

@@ -49,11 +49,19 @@ def markers_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
-    """Scan CSV with a header under a declared schema.
+def read_texts(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """CSV with a header, every column as text, missing markers as null.
 
-    Every file's header is checked against the schema, so a file with other or
-    reordered columns fails instead of being read into the wrong columns.
+    All files must have the header of the first one; another header fails rather
+    than putting values into the wrong columns.
     """
-    reader = spark.read.options(header=True, enforceSchema=False, **options).schema(schema)
+    reader = spark.read.options(header=True, enforceSchema=False, **options)
     return markers_to_null(reader.csv(path))
+
+
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
+    """The columns of a declared schema, found in the header by name; others are not kept."""
+    texts = read_texts(spark, path, **options)
+    return texts.select(
+        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]
+    )

@@ -6,24 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leaguescore.functions import rename_checked
-from leaguescore.schemas import PICK_HEADERS, SHEET_HEADERS, SHEET_SCHEMA
-from leaguescore.sources.scans import markers_to_null
+from leaguescore.schemas import PICK_HEADERS, SHEET_HEADERS, SHEET_TYPES
+from leaguescore.sources.scans import markers_to_null, read_texts
 
 
 def scan_sheets(spark: SparkSession, folder: str, token: str) -> DataFrame:
-    """All ``.csv`` files of a folder whose name holds the season token.
+    """All ``.csv`` files of a folder whose name holds the season token, as text.
 
     Files are selected while listing, so others are never opened. ``sheet`` is
     the file name, with the escapes of the file URL undone.
     """
     literal = "".join(f"\\{c}" if c in "\\*?[]{}" else c for c in token)
-    rows = (
-        spark.read.options(header=True, enforceSchema=False, pathGlobFilter=f"*{literal}*.csv")
-        .schema(SHEET_SCHEMA)
-        .csv(folder)
-        .select("*", F.col("_metadata.file_name").alias("sheet"))
-    )
-    return markers_to_null(rows).withColumn("sheet", F.url_decode("sheet"))
+    rows = spark.read.options(
+        header=True, enforceSchema=False, pathGlobFilter=f"*{literal}*.csv"
+    ).csv(folder)
+    named = markers_to_null(rows).select("*", F.col("_metadata.file_name").alias("sheet"))
+    return named.withColumn("sheet", F.url_decode("sheet"))
 
 
 def check_sheet_columns(columns: list[str]) -> None:
@@ -36,18 +34,21 @@ def check_sheet_columns(columns: list[str]) -> None:
 
 
 def sheets_from_headers(df: DataFrame, key: str = "sheet") -> DataFrame:
-    """Check the columns of scanned sheets and rename them to the report's names."""
+    """Check the columns of scanned sheets, and give them the report's names and types.
+
+    Text that does not fit its type becomes missing, which the null check reports.
+    """
     check_sheet_columns([c for c in df.columns if c != key])
-    return df.select(key, *[F.col(f"`{h}`").alias(n) for h, n in SHEET_HEADERS.items()])
+    return df.select(
+        key,
+        *[
+            F.col(f"`{header}`").try_cast(SHEET_TYPES.get(name, "string")).alias(name)
+            for header, name in SHEET_HEADERS.items()
+        ],
+    )
 
 
 def read_picks(spark: SparkSession, path: str) -> DataFrame:
-    """Read consolidated rosters back, checking the header before renaming.
-
-    The columns are read as text and typed after the check, so a wrong header is
-    reported as such.
-    """
-    raw = markers_to_null(spark.read.options(header=True).csv(path))
-    return rename_checked(raw, PICK_HEADERS).withColumn(
-        "roster_index", F.col("roster_index").cast("int")
-    )
+    """Read consolidated rosters back, checking the header before renaming."""
+    picks = rename_checked(read_texts(spark, path), PICK_HEADERS)
+    return picks.withColumn("roster_index", F.col("roster_index").cast("int"))
