@@ -4,7 +4,7 @@ from leaguescore.operators.events import count_events, events_of
 from leaguescore.operators.joins import (
     Dimension,
     attach,
-    join_players,
+    describe_players,
     join_teams,
     measured,
     people_dimension,
@@ -17,8 +17,8 @@ __all__ = [
     "Dimension",
     "attach",
     "count_events",
+    "describe_players",
     "events_of",
-    "join_players",
     "join_teams",
     "measured",
     "melt",

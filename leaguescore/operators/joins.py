@@ -82,17 +82,25 @@ def people_dimension(players: DataFrame | Dimension) -> Dimension:
     return players if isinstance(players, Dimension) else measured(people_of(players))
 
 
-def join_players(
-    facts: DataFrame, people: Dimension, carry: tuple[str, ...] = (), how: str = "left"
+def describe_players(
+    rows: DataFrame,
+    teams: DataFrame | Dimension,
+    people: Dimension,
+    carry: tuple[str, ...] = (),
+    how: str = "left",
 ) -> DataFrame:
-    """Add position, name, label and trade flag from ``people_of`` rows.
+    """Add the player and team columns, label and trade flag to rows of players.
 
-    ``facts`` must have its team columns already. Several people per id multiply
-    the rows; rows without a match stay under ``how="left"``, with the flag set.
+    Several people per id multiply the rows; rows without a match stay under
+    ``how="left"``, with the flag set. People come first, so that an inner join
+    leaves fewer rows for the teams.
     """
-    own = [c for c in facts.columns if c not in ("position", "player_name")]
-    return attach(facts.select(*own), people, "player_id", "roster_player_id", how).select(
+    own = [c for c in rows.columns if c not in ("position", "player_name")]
+    matched = attach(rows.select(*own), people, "player_id", "roster_player_id", how)
+    return join_teams(matched, teams).select(
         *own,
+        "team_conf",
+        "team_division",
         "position",
         "player_name",
         player_label(

@@ -11,12 +11,11 @@ from leaguescore.functions import in_seasons, nan_to_null, recode
 from leaguescore.operators.events import count_events, events_of
 from leaguescore.operators.joins import (
     Dimension,
-    join_players,
-    join_teams,
+    describe_players,
     people_dimension,
 )
-from leaguescore.rules import DEFENSE_EVENTS, OFFENSE_EVENTS, EventRule
 from leaguescore.plans.stats import describe_defense
+from leaguescore.rules import DEFENSE_EVENTS, OFFENSE_EVENTS, EventRule
 from leaguescore.schemas import BONUS_POSITIONS, PLAY_COLUMNS, SCORED_COLUMNS
 
 
@@ -41,7 +40,7 @@ def describe_player_bonus(
     The label keeps the rostered position; only the position column turns a
     fullback into a running back.
     """
-    named = join_players(join_teams(counts, teams), people, carry, how)
+    named = describe_players(counts, teams, people, carry, how)
     return named.withColumn("position", recode(F.col("position"), {"FB": "RB"})).select(
         *SCORED_COLUMNS, *carry
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leaguescore.functions import add_constants, in_seasons, nan_to_null
 from leaguescore.operators.joins import (
     Dimension,
-    join_players,
+    describe_players,
     join_teams,
     measured,
     people_dimension,
@@ -75,7 +75,7 @@ def score_wide(
     rows and joins (and, without a broadcast, shuffles) one row per player-week
     in place of one per stat.
     """
-    described = join_players(join_teams(wide, teams), people, carry, how)
+    described = describe_players(wide, teams, people, carry, how)
     return melt_scored(described, (*SCORED_IDS, *carry), stats, scores_by_label(rules))
 
 

@@ -25,7 +25,7 @@ from leaguescore.functions import (
 )
 from leaguescore.operators import quality
 from leaguescore.operators.events import EVENT_KEYS, count_events, events_of
-from leaguescore.operators.joins import Dimension, join_players, join_teams, measured, people_dimension
+from leaguescore.operators.joins import Dimension, describe_players, join_teams, measured, people_dimension
 from leaguescore.operators.reshape import melt, melt_scored, points_against, union_all
 from leaguescore.plans import bonuses, dimensions, report, rosters, stats
 from leaguescore.rules import (
@@ -318,17 +318,12 @@ def join_team_dim(spark, sf_dir):
     )
 
 
-def described_offense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = Inputs(spark, sf_dir)
-    teams = inputs.teams()
-    return join_players(
-        join_teams(inputs.offense(), teams), people_dimension(inputs.players(teams))
-    )
-
-
 @query
 def join_player_dim(spark, sf_dir):
-    return described_offense(spark, sf_dir).select(
+    inputs = Inputs(spark, sf_dir)
+    teams = inputs.teams()
+    people = people_dimension(inputs.players(teams))
+    return describe_players(inputs.offense(), teams, people).select(
         "week", "team_abbr", "player_id", "position", "player_name", "passing_yards"
     )
 

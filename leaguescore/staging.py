@@ -163,8 +163,8 @@ SELECT
     CASE WHEN event_type = 'view' THEN 'made' END AS field_goal_result,
     cast(event_id % 10 AS int) AS field_goal_attempt,
     nullif(value * 2, 50) AS kick_distance,
-    CASE WHEN event_id % 8 = 0 THEN 'B' || cast(user_id AS string) END AS blocked_player_name,
-    CASE WHEN event_id % 8 = 0 THEN cast(user_id + 13 AS string) END AS blocked_player_id
+    CASE WHEN event_id % 9 = 0 THEN 'B' || cast(user_id AS string) END AS blocked_player_name,
+    CASE WHEN event_id % 9 = 0 THEN cast(user_id + 13 AS string) END AS blocked_player_id
 FROM {events} JOIN {customer} ON user_id = c_custkey
 """,
     "v_games": """
@@ -177,8 +177,8 @@ SELECT
     o_custkey % 53 AS away_score
 FROM {orders}
 """,
-    # Fourteen rows to a sheet. Some sheets repeat an id, some lack a position,
-    # some share a team name, some have a missing value; the last may be short.
+    # Fourteen rows to a sheet. Some sheets repeat an id, some lack a position, some
+    # share a team name, some have a missing value; the last may be short.
     "v_sheets": """
 SELECT
     cast(floor(c_custkey / 14.0) AS int) AS sheet,
@@ -187,7 +187,9 @@ SELECT
     'me@example.org' AS fantasy_owner_email,
     'FT' || cast(CASE WHEN cast(floor(c_custkey / 14.0) AS int) % 10 = 7
         THEN cast(floor(c_custkey / 14.0) AS int) - 1
-        ELSE cast(floor(c_custkey / 14.0) AS int) END AS string) AS fantasy_team,
+        ELSE cast(floor(c_custkey / 14.0) AS int) END AS string)
+        || CASE WHEN floor(c_custkey / 14.0) % 20 = 9 THEN ' row ' || cast(c_custkey % 14 AS string)
+            WHEN c_custkey % 280 = 181 THEN ' typo' ELSE '' END AS fantasy_team,
     CASE WHEN c_custkey % 140 = 20 THEN cast(c_custkey - 1 AS string)
         WHEN c_custkey % 14 = 13 THEN 'T' || lpad(cast(c_nationkey AS string), 2, '0')
         ELSE cast(c_custkey AS string) END AS player_id,

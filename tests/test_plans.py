@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from leaguescore.functions import in_seasons
 from leaguescore.operators.events import count_events, events_of
-from leaguescore.operators.joins import Dimension, join_players
+from leaguescore.operators.joins import Dimension, describe_players
 from leaguescore.plans import report
 from leaguescore.plans.bonuses import plays
 from leaguescore.registry import QUERIES, Inputs
@@ -110,7 +110,6 @@ def hot_rows(spark, n):
     return spark.range(0, n, 1, 8).select(
         key.alias("player_id"),
         F.lit("T01").alias("team_abbr"),
-        F.lit("D1").alias("team_division"),
         F.sha2(F.col("id").cast("string"), 256).alias("detail"),
     )
 
@@ -127,7 +126,10 @@ def test_hot_player_is_split_when_players_are_not_broadcast(spark, conf):
         F.lit("QB").alias("position"),
         F.col("p").alias("player_name"),
     )
-    df = join_players(hot_rows(spark, n), Dimension(people, fits=False))
+    teams = spark.createDataFrame(
+        [("T01", "C1", "D1")], "team_abbr string, team_conf string, team_division string"
+    )
+    df = describe_players(hot_rows(spark, n), teams, Dimension(people, fits=False))
     assert len(df.collect()) == n
     assert "SortMergeJoin(skew=true)" in plan_of(df)
 
