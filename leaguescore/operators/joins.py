@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,8 @@ from leaguescore.functions import differs, player_label
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
 
 @dataclass(frozen=True)
 class Dimension:
@@ -32,19 +34,24 @@ class Dimension:
         return F.broadcast(frame) if self.fits else frame.hint("merge")
 
 
-def row_bytes(df: DataFrame):
-    """Width of a row as a column: the bytes of its strings, 16 more for every column."""
-    strings = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+def row_bytes(df: DataFrame) -> Column:
+    """Width of a row as a column: the bytes of its texts, 16 more for every column."""
     width = F.lit(16 * len(df.columns)).cast("bigint")
-    for name in strings:
-        width = width + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
     return width
 
 
 def measured(df: DataFrame | Dimension, limit: int = BROADCAST_BYTES) -> Dimension:
-    """Measure a frame once, in a single aggregate; a ``Dimension`` is passed through."""
+    """Measure a frame once, in a single aggregate; a ``Dimension`` is passed through.
+
+    Frames with nested columns, whose width is not measured, never fit.
+    """
     if isinstance(df, Dimension):
         return df
+    if any(isinstance(f.dataType, NESTED) for f in df.schema):
+        return Dimension(df, False)
     size = df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("size")).first()["size"]
     return Dimension(df, size <= limit)
 

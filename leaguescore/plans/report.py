@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguescore.functions import is_not, true_if_missing
-from leaguescore.operators.joins import Dimension, measured, people_dimension, people_of
+from leaguescore.operators.joins import (
+    Dimension,
+    attach,
+    measured,
+    people_dimension,
+    people_of,
+)
 from leaguescore.operators.reshape import union_all
 from leaguescore.plans.bonuses import (
     bonus_counts,
@@ -68,11 +74,9 @@ def defense_picks(picks: DataFrame) -> DataFrame:
 
 def score_player_picks(picks: DataFrame, scored: DataFrame) -> DataFrame:
     """Picks of players with their scored rows; picks without any are left out."""
-    chosen = player_picks(picks).withColumnRenamed("player_id", "picked_id")
+    chosen = measured(player_picks(picks).withColumnRenamed("player_id", "picked_id"))
     rows = scored.where(is_not(F.col("player_id"), NO_PLAYER) & F.col("stat_label").isNotNull())
-    return chosen.join(
-        rows, F.col("picked_id").eqNullSafe(F.col("player_id")), "inner"
-    ).select(*REPORT_COLUMNS)
+    return attach(rows, chosen, "player_id", "picked_id", "inner").select(*REPORT_COLUMNS)
 
 
 def score_defense_picks(picks: DataFrame, scored: DataFrame) -> DataFrame:

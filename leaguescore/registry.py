@@ -363,8 +363,8 @@ def score_defense_picks(spark, sf_dir):
 @query
 def join_fanout(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
-    picks = inputs.picks().select("fantasy_team", "roster_index", "player_id")
-    return picks.join(inputs.kicking(), "player_id").select(
+    picks = measured(inputs.picks().select("fantasy_team", "roster_index", "player_id"))
+    return inputs.kicking().join(picks.side(picks.frame), "player_id").select(
         "fantasy_team", "roster_index", "player_id", "week", "fg_made"
     )
 

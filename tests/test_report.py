@@ -5,11 +5,18 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+import leaguescore as ls
 from leaguescore.operators.joins import Dimension, measured, people_dimension
 from leaguescore.operators.quality import audited, contract_violations
 from leaguescore.plans import dimensions, report, rosters, stats
 from leaguescore.registry import SEASONS, Inputs
-from leaguescore.schemas import KICKING_STATS, PICK_COLUMNS, REPORT_COLUMNS, SCORED_SCHEMA
+from leaguescore.schemas import (
+    KICKING_STATS,
+    PICK_COLUMNS,
+    REPORT_COLUMNS,
+    SCORED_SCHEMA,
+    TEAM_LIST_SCHEMA,
+)
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -106,6 +113,7 @@ def test_measured_limit(teams):
     assert measured(teams).fits
     assert not measured(teams, limit=10).fits
     assert measured(measured(teams, limit=10)).fits is False
+    assert not measured(teams.select(F.array("team_abbr").alias("nested"))).fits
 
 
 def test_picks(spark, players, teams):
@@ -176,3 +184,31 @@ def test_consolidated_columns(spark):
     picks = rosters.consolidate(Inputs(spark, SF_DIR).sheets(), on_violation="drop")
     assert picks.columns == list(PICK_COLUMNS)
     assert picks.where(F.col("fantasy_owner").contains("@")).isEmpty()
+
+
+def test_from_files_to_report(spark, tmp_path):
+    """Raw files on disk, plays standing in for games, sheets as CSV, one published path."""
+    inputs, raw = Inputs(spark, SF_DIR), {}
+    for view in ("v_offense", "v_kicking", "v_pbp", "v_roster", "v_team_desc"):
+        inputs.view(view).write.parquet(str(tmp_path / view))
+        raw[view] = ls.scan_parquet(spark, str(tmp_path / view))
+    inputs.view("v_team_list").coalesce(1).write.option("header", True).csv(str(tmp_path / "teams"))
+    listed = ls.scan_csv(spark, str(tmp_path / "teams"), TEAM_LIST_SCHEMA)
+    team_dim = ls.measured(ls.teams(listed, raw["v_team_desc"], 2024))
+    league = ls.League(
+        offense=raw["v_offense"],
+        kicking=raw["v_kicking"],
+        plays=ls.plays(raw["v_pbp"], SEASONS),
+        games=raw["v_pbp"],
+        teams=team_dim,
+        players=ls.players(raw["v_roster"], team_dim),
+        seasons=SEASONS,
+    )
+    picks = ls.consolidate(inputs.sheets(), on_violation="drop")
+    path = ls.write_parquet(ls.league_report(picks, league), str(tmp_path / "out"), "1")
+    written = spark.read.parquet(path)
+    assert written.columns == list(REPORT_COLUMNS)
+    generic = ls.scored_report(picks, ls.all_scored_stats(league))
+    assert written.exceptAll(generic).isEmpty() and generic.exceptAll(written).isEmpty()
+    labels = {r["stat_label"] for r in written.select("stat_label").distinct().collect()}
+    assert {"def_points_allowed", "sack_bonus", "passing_yards", "fg_made"} <= labels
