@@ -7,12 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguescore.llm import bitplanes, packing, separators, simhash
+from leaguescore.llm import (
+    bitplanes,
+    lattice,
+    mixing,
+    ordinal,
+    packing,
+    separators,
+    simhash,
+    sketch,
+    supervision,
+)
 from leaguescore.llm.runtime import new_folder, stored
 from leaguescore.llm.tokens import public_vocabulary
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 END_OF_TEXT = 50256
 
 
@@ -20,6 +31,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return ordinal.classify(documents(spark, sf_dir), labels)
+
+
+def op2_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, sf_dir))
+
+
 def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted from flat files of their ids."""
     docs, vocabulary = documents(spark, sf_dir), public_vocabulary(BYTE_BPE)
@@ -29,11 +49,30 @@ def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_tokens")
 
 
+def op4_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(documents(spark, sf_dir), public_vocabulary(PIECES))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(simhash.fingerprints(documents(spark, sf_dir), width=4), distance=4)
     return found.withColumn("fingerprint", simhash.hex_digits(F.col("fingerprint")))
 
 
+def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = supervision.judge(documents(spark, sf_dir))
+    return judged.select(
+        "doc_id",
+        *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
+        "base_failed",
+        "kept",
+        "posterior",
+    )
+
+
+def op8_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.compare_edited(documents(spark, sf_dir))
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     pieces = packing.cut_pieces(docs, public_vocabulary(BYTE_BPE), tokens=1024)
@@ -48,6 +87,16 @@ def op10_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_separator_scan, op6_simhash_dedup, op9_vector_packing, op10_bitplane_ids)
+    for f in (
+        op1_ordinal_quality,
+        op2_sainte_lague_mix,
+        op3_separator_scan,
+        op4_lattice_score,
+        op6_simhash_dedup,
+        op7_weak_supervision,
+        op8_scaled_sketch,
+        op9_vector_packing,
+        op10_bitplane_ids,
+    )
 }
 ORACLES: dict[str, str] = {}

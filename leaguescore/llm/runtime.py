@@ -72,6 +72,18 @@ def pieces_of(
             yield batch.slice(start, step)
 
 
+def merged(batches: Iterator[pa.RecordBatch], rows: int = 80_000) -> Iterator[pa.Table]:
+    """The same rows in tables of about so many rows, where a call on few costs as much."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """A text column as a list; null is the empty text."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
