@@ -15,12 +15,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaguescore.llm.runtime import BLANK_CHARS, BLANKS
 
 MAX_SHARDS = 20_000
+WORD_STARTS = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
 
 
 @dataclass(frozen=True)
@@ -91,13 +92,14 @@ def targets(sizes: np.ndarray, mix: Mix) -> np.ndarray:
     return out
 
 
-def sized(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
-    """``(key, source, size)``: words of every text, without the text; null is empty."""
+def sized(
+    docs: DataFrame, key: str, source: str, text: str, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(key, carry..., source, size)``: words of every text; null is empty."""
     body = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(BLANK_CHARS))
     size = F.when(body == "", 0).otherwise(F.size(F.split(body, BLANKS)))
-    return docs.select(
-        F.col(key), F.col(source).alias("source"), size.cast("long").alias("size")
-    )
+    own = list(dict.fromkeys([key, *carry]))
+    return docs.select(*own, F.col(source).alias("source"), size.cast("long").alias("size"))
 
 
 def mix_sources(
@@ -106,16 +108,21 @@ def mix_sources(
     key: str = "doc_id",
     source: str = "source",
     text: str = "text",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(key, source, size, source_size, target, taken)`` of every document.
+    """``(key, carry..., source, size, source_size, target, taken, rounds, cuts)`` of all rows.
 
     ``taken`` counts the words that the mix takes, repeats included: at most ``max_repeats``
     times the size. Sources are in code point order, null last. The order in a shard is a hash
     of the seed, the key and the size, so a run that is repeated takes the same words; rows
     alike in all three are interchangeable. Empty documents are never taken.
+
+    ``taken`` is ``rounds`` times the whole document and the words of ``cuts``, spans
+    ``(low, high)`` of word numbers: only documents at the ends of a shard's run are cut.
     """
     spark = docs.sparkSession
-    rows = sized(docs, key, source, text)
+    own = list(dict.fromkeys([key, *carry]))
+    rows = sized(docs, key, source, text, carry)
     found = rows.groupBy("source").agg(F.sum("size").alias("size")).toPandas()  # one per source
     found = found.iloc[
         sorted(
@@ -152,9 +159,9 @@ def mix_sources(
     words = words.sort_values(["number", "shard"], ignore_index=True)  # at most 20,000 and one each
     words["quota"] = 0
     for number, part in words.groupby("number"):
-        own = part["words"].to_numpy(dtype=np.int64)
-        most = -(-mix.max_repeats * own // mix.block)
-        words.loc[part.index, "quota"] = apportion(own, int(blocks[number]), most)
+        held = part["words"].to_numpy(dtype=np.int64)
+        most = -(-mix.max_repeats * held // mix.block)
+        words.loc[part.index, "quota"] = apportion(held, int(blocks[number]), most)
     quotas = spark.createDataFrame(
         [tuple(map(int, r)) for r in words[["number", "shard", "words", "quota"]].to_numpy()],
         "number int, shard int, words long, quota long",
@@ -168,28 +175,38 @@ def mix_sources(
     rounds = F.when(F.col("words") > 0, F.floor(F.col("taken_words") / F.col("words"))).otherwise(0)
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("words") / mix.block))
     first = F.pmod(F.xxhash64(F.lit(mix.seed), "number", "shard"), n_blocks) * mix.block
-    end = F.col("begin") + F.col("size")
 
-    def overlap(low, high):
-        return F.greatest(F.lit(0), F.least(end, high) - F.greatest(F.col("begin"), low))
+    def overlap(low: Column, high: Column) -> Column:
+        return F.struct(
+            (F.greatest("begin", low) - F.col("begin")).alias("low"),
+            (F.least(F.col("begin") + F.col("size"), high) - F.col("begin")).alias("high"),
+        )
 
+    spans = F.array(
+        overlap(F.col("from"), F.least("to", "words")),
+        overlap(F.lit(0), F.col("to") - F.col("words")),
+    )
+    cut = F.filter(spans, lambda s: s["low"] < s["high"])
+    words_cut = F.aggregate(
+        F.col("cuts"), F.lit(0).cast("long"), lambda total, s: total + s["high"] - s["low"]
+    )
     return (
         at.withColumn("taken_words", taken)
-        .withColumn("rounds", rounds)
+        .withColumn("rounds", rounds.cast("long"))
         .withColumn("from", first)
         .withColumn("to", F.col("from") + F.col("taken_words") - F.col("rounds") * F.col("words"))
+        .withColumn("cuts", cut)
+        .withColumn("taken", F.col("rounds") * F.col("size") + words_cut)
         .select(
-            key,
-            "source",
-            "size",
-            "source_size",
-            "target",
-            (
-                F.col("rounds") * F.col("size")
-                + overlap(F.col("from"), F.least("to", "words"))
-                + overlap(F.lit(0), F.col("to") - F.col("words"))
-            )
-            .cast("long")
-            .alias("taken"),
+            *own,
+            *("source", "size", "source_size", "target", "taken"),
+            F.when(F.col("size") > 0, F.col("rounds")).otherwise(0).alias("rounds"),
+            "cuts",
         )
     )
+
+
+def take_text(text: Column, cut: Column) -> Column:
+    """The words of a cut with the blanks after each, as they are in the text."""
+    parts = F.split(F.btrim(text, F.lit(BLANK_CHARS)), WORD_STARTS)
+    return F.array_join(F.slice(parts, cut["low"] + 1, cut["high"] - cut["low"]), "")

@@ -128,15 +128,21 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
     return sequence, offset
 
 
-def pack(pieces: DataFrame, capacity: Capacity, n_rows: int, length: str = "length") -> DataFrame:
+def pack(
+    pieces: DataFrame,
+    capacity: Capacity,
+    n_rows: int,
+    length: str = "length",
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
     """The same rows with ``sequence_id`` and ``offset``, gapless from 0 in each sequence.
 
-    ``n_rows``: about how many rows there are, to set the number of groups. Columns of
-    the result's names are replaced. Rows whose length is null or less than one are not
+    ``n_rows``: about how many rows there are, to set the number of groups; smaller groups
+    suit rows that carry their ids. Columns of the result's names are replaced. Rows whose length is null or less than one are not
     packed: both new columns are null.
     """
     own = [c for c in pieces.columns if c not in ("sequence_id", "offset", "_group")]
-    n_groups = max(1, -(-n_rows // GROUP_ROWS))
+    n_groups = max(1, -(-n_rows // group_rows))
     narrow = [c for c in own if not isinstance(pieces.schema[c].dataType, _WIDE)]
     group = F.pmod(F.xxhash64(*narrow), F.lit(n_groups))
     kept = pieces.select(*[F.col(f"`{c}`") for c in own]).withColumn("_group", group)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from leaguescore.llm import (
     bitplanes,
+    chat,
     lattice,
     mixing,
     ordinal,
@@ -37,7 +38,8 @@ def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(documents(spark, sf_dir))
+    mixed = mixing.mix_sources(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source", "source_size", "target", "taken")
 
 
 def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +55,18 @@ def op4_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(documents(spark, sf_dir), public_vocabulary(PIECES))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like the template's own marks."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    tricky = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
+        "conv_id long, turn long, role string, text string",
+    )
+    whole = turns.select("conv_id", "turn", "role", "text").union(extra)
+    return chat.read_back(chat.format_conversations(whole))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(simhash.fingerprints(documents(spark, sf_dir), width=4), distance=4)
     return found.withColumn("fingerprint", simhash.hex_digits(F.col("fingerprint")))
@@ -92,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_sainte_lague_mix,
         op3_separator_scan,
         op4_lattice_score,
+        op5_chat_format,
         op6_simhash_dedup,
         op7_weak_supervision,
         op8_scaled_sketch,

@@ -97,8 +97,10 @@ def repeated_words(hashes: Column) -> Column:
     return F.when(none, 0).otherwise(bind(bind(placed, places), covered))
 
 
-def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, FEATURES...)`` of every document; a null text has no words.
+def features(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(key, carry..., FEATURES...)`` of every document; a null text has no words.
 
     Words are runs without ASCII white space. ``word_chars`` are their code points,
     ``n_symbols`` characters of ``#*$%&|<>``, ``n_dup_lines`` the lines with a word that equal
@@ -124,8 +126,9 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             (F.size(found) - F.size(F.array_distinct(found))).alias("n_dup_lines"),
         )
 
+    own = list(dict.fromkeys([key, *carry]))
     measured = docs.select(
-        F.col(key),
+        *own,
         bind(words, of_words).alias("w"),
         bind(lines, of_lines).alias("l"),
         F.length(F.regexp_replace(whole, BLANKS, "")).alias("word_chars"),
@@ -133,8 +136,8 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         F.length(F.regexp_replace(whole, "[^A-Z]+", "")).alias("n_upper"),
         F.length(F.regexp_replace(whole, "[^!]+", "")).alias("n_shouts"),
     )
-    flat = measured.select(key, "w.*", "l.*", "word_chars", "n_symbols", "n_upper", "n_shouts")
-    return flat.select(key, *[F.col(c).cast("long").alias(c) for c in FEATURES])
+    flat = measured.select(*own, "w.*", "l.*", "word_chars", "n_symbols", "n_upper", "n_shouts")
+    return flat.select(*own, *[F.col(c).cast("long").alias(c) for c in FEATURES])
 
 
 def votes(features_table: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -202,8 +205,9 @@ def judge(
     keep_at: float = 0.5,
     key: str = "doc_id",
     text: str = "text",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(key, FEATURES..., votes, posterior, base_failed, kept)`` of every document.
+    """``(key, carry..., FEATURES..., votes, posterior, base_failed, kept)`` of every document.
 
     ``base_failed``: under 50 words, or over half of them in repeated windows. Such documents
     are not kept, whatever the votes; as they are decided without them, the accuracies are
@@ -211,7 +215,7 @@ def judge(
     alike; a null key stays null.
     """
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    judged = votes(features(docs, key, text), rules).withColumn("base_failed", failed)
+    judged = votes(features(docs, key, text, carry), rules).withColumn("base_failed", failed)
     table = stored(judged, "votes")
     counted = table.where(~F.col("base_failed")).groupBy("votes").count()
     patterns = {tuple(r["votes"]): r["count"] for r in counted.collect()}  # 3 ** rules at most
