@@ -40,7 +40,8 @@ def sheet_facts(sheets: DataFrame) -> DataFrame:
     more value. They are computed on (sheet, value) keys before the sheet's rows
     meet, so a sheet of any length is spread over tasks.
     """
-    columns = [c for c in sheets.columns if c != "sheet"]
+    columns = [c for c in sheets.columns if c not in ("sheet", "columns_ok")]
+    scanned = [F.bool_and("columns_ok").alias("columns")] if "columns_ok" in sheets.columns else []
     any_null = F.expr(" OR ".join(f"`{name}` IS NULL" for name in columns))
     return sheets.groupBy("sheet").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -56,6 +57,7 @@ def sheet_facts(sheets: DataFrame) -> DataFrame:
             "n_foreign"
         ),
         F.count_if(any_null).alias("n_null"),
+        *scanned,
     )
 
 
@@ -97,8 +99,9 @@ def with_cross_unique(facts: DataFrame) -> DataFrame:
 
 
 def sheet_verdicts(sheets: DataFrame, strict: bool = False) -> DataFrame:
-    """One row per sheet, one boolean per rule."""
-    return with_cross_unique(sheet_facts(sheets)).select(
+    """One row per sheet, one boolean per rule; ``columns`` if the sheets were scanned from files."""
+    facts = sheet_facts(sheets)
+    return with_cross_unique(facts).select(
         "sheet",
         length_ok().alias("length"),
         unique_ids_ok().alias("unique_ids"),
@@ -107,12 +110,18 @@ def sheet_verdicts(sheets: DataFrame, strict: bool = False) -> DataFrame:
         min_positions_ok().alias("min_positions"),
         extra_position_ok().alias("extra_position"),
         nulls_ok().alias("nulls"),
+        *[c for c in ("columns",) if c in facts.columns],
     )
 
 
+def rules_of(verdicts: DataFrame) -> list[str]:
+    return [c for c in verdicts.columns if c != "sheet"]
+
+
 def sheet_violations(sheets: DataFrame, strict: bool = False) -> DataFrame:
     """One row per sheet and rule: ``(sheet, rule, ok)``."""
-    return sheet_verdicts(sheets, strict).unpivot(["sheet"], list(SHEET_RULES), "rule", "ok")
+    verdicts = sheet_verdicts(sheets, strict)
+    return verdicts.unpivot(["sheet"], rules_of(verdicts), "rule", "ok")
 
 
 def audit_columns(positions: Sequence[str] = BONUS_POSITIONS) -> list[Column]:

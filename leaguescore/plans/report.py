@@ -132,12 +132,14 @@ def league_report(picks: DataFrame, league: League) -> DataFrame:
     Picks are joined to the player dimension first, and the result to the wide
     weekly rows. So each fact meets the picks in one join on ``player_id``,
     before the melt multiplies it by 13, and rows of players nobody picked go no
-    further. Player ids of the facts are ids or missing, never the team marker.
+    further. A player row of the facts with the team marker as its id is left out, as in
+    ``scored_report``.
     """
+    is_player = is_not(F.col("player_id"), NO_PLAYER)
     picked = measured(picked_people(picks, league.players))
     player_rows = (
         score_wide(
-            offense_wide(league.offense, league.seasons),
+            offense_wide(league.offense, league.seasons).where(is_player),
             OFFENSE_STATS,
             OFFENSE_RULES,
             league.teams,
@@ -146,7 +148,7 @@ def league_report(picks: DataFrame, league: League) -> DataFrame:
             "inner",
         ),
         score_wide(
-            kicking_wide(league.kicking, league.seasons),
+            kicking_wide(league.kicking, league.seasons).where(is_player),
             KICKING_STATS,
             KICKING_RULES,
             league.teams,
@@ -155,7 +157,7 @@ def league_report(picks: DataFrame, league: League) -> DataFrame:
             "inner",
         ),
         describe_player_bonus(
-            bonus_counts(league.plays, OFFENSE_EVENTS),
+            bonus_counts(league.plays, OFFENSE_EVENTS).where(is_player),
             league.teams,
             picked,
             PLAYER_PICK_COLUMNS,

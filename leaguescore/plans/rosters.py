@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguescore.functions import short_owner
-from leaguescore.operators.quality import SHEET_RULES, sheet_verdicts, sheet_violations
+from leaguescore.operators.quality import rules_of, sheet_verdicts, sheet_violations
 from leaguescore.schemas import PICK_COLUMNS
 
 
+#: Violations that an error names.
+SHOWN = 20
+
+
 class SheetViolation(ValueError):
     """At least one roster sheet breaks a rule."""
 
@@ -24,18 +28,24 @@ def drop_personal(sheets: DataFrame) -> DataFrame:
 def consolidate(sheets: DataFrame, on_violation: str = "raise", strict: bool = False) -> DataFrame:
     """One table of picks from all roster sheets.
 
-    ``on_violation="raise"`` stops when any sheet breaks a rule and names the
-    first few; ``"drop"`` leaves such sheets out.
+    ``on_violation="raise"`` stops when any sheet breaks a rule; the error counts the violations
+    and names some of them, ``sheet_violations`` lists all. ``"drop"`` leaves such sheets out.
     """
     if on_violation not in ("raise", "drop"):
         raise ValueError(f"on_violation is raise or drop, not {on_violation}")
     if on_violation == "raise":
-        broken = sheet_violations(sheets, strict).where(~F.col("ok")).limit(20).collect()
-        if broken:
-            raise SheetViolation(", ".join(f"{row['sheet']}: {row['rule']}" for row in broken))
+        broken = sheet_violations(sheets, strict).where(~F.col("ok"))
+        total = broken.count()
+        if total:
+            some = [f"{row['sheet']}: {row['rule']}" for row in broken.limit(SHOWN).collect()]
+            raise SheetViolation(
+                f"{total} violations (sheet_violations lists them), {len(some)} here: "
+                + ", ".join(some)
+            )
         kept = sheets
     else:
-        all_ok = reduce(lambda left, right: left & right, [F.col(r) for r in SHEET_RULES])
-        valid = sheet_verdicts(sheets, strict).where(all_ok).select("sheet")
+        verdicts = sheet_verdicts(sheets, strict)
+        rules = [F.col(r) for r in rules_of(verdicts)]
+        valid = verdicts.where(reduce(lambda left, right: left & right, rules)).select("sheet")
         kept = sheets.join(valid, "sheet", "left_semi")
     return drop_personal(kept.withColumn("fantasy_owner", short_owner(F.col("fantasy_owner"))))

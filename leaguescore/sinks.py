@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leaguescore.operators.quality import contract_violations
@@ -13,6 +13,15 @@ class ContractViolation(ValueError):
     """A column of the published table would hold missing values."""
 
 
+#: Quotes are doubled and blanks kept, as other programs read and write them.
+CSV_DIALECT = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_parquet(df: DataFrame, base: str, run_ts: str) -> str:
     """Write one run under its own timestamp; an existing run is never overwritten."""
     path = f"{base}/run_ts={run_ts}"
@@ -22,7 +31,7 @@ def write_parquet(df: DataFrame, base: str, run_ts: str) -> str:
 
 def write_csv(df: DataFrame, base: str, run_ts: str) -> str:
     path = f"{base}/run_ts={run_ts}"
-    df.write.mode("errorifexists").option("header", True).csv(path)
+    df.write.mode("errorifexists").options(**CSV_DIALECT).csv(path)
     return path
 
 
@@ -33,15 +42,20 @@ def write_picks(picks: DataFrame, base: str, run_ts: str) -> str:
 
 
 def published(report: DataFrame) -> DataFrame:
-    """The report in the types of the published table."""
+    """The report in the types of the published table; a fraction that has no place there fails."""
     return report.select(
-        *[
-            F.col(c).cast(PUBLISHED_TYPES[c]).alias(c) if c in PUBLISHED_TYPES else F.col(c)
-            for c in REPORT_COLUMNS
-        ]
+        *[published_value(c).alias(c) if c in PUBLISHED_TYPES else F.col(c) for c in REPORT_COLUMNS]
     )
 
 
+def published_value(name: str) -> Column:
+    value = F.col(name).cast(PUBLISHED_TYPES[name])
+    if PUBLISHED_TYPES[name] != "int":
+        return value
+    cut = F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), F.col(name)))
+    return F.when(F.col(name).isNull() | (value == F.col(name)), value).otherwise(cut)
+
+
 def check_contract(report: DataFrame) -> None:
     """Fail when a published column has missing values. At most 18 counts reach the driver."""
     broken = contract_violations(report).where("null_count > 0").collect()
@@ -61,11 +75,20 @@ def publish(
 ) -> None:
     """Replace (``overwrite``) or extend (``append``) the published table.
 
-    Rows go in as a batch from all tasks. ``source="jdbc"`` with its options
+    ``enforce_not_null`` writes the report to a staging table once, counts there, and publishes
+    from there, or nothing if a value is missing. Rows go in as a batch from all tasks. ``source="jdbc"`` with its options
     writes to a database in place of the catalog.
     """
     if enforce_not_null:
-        check_contract(report)
+        staging = f"{table}__staging"
+        spark = report.sparkSession
+        try:
+            report.write.mode("overwrite").saveAsTable(staging)
+            check_contract(spark.table(staging))
+            publish(spark.table(staging), table, mode, source=source, **options)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        return
     writer = published(report).write.mode(mode).options(**options)
     if source == "jdbc":
         writer.format("jdbc").option("dbtable", table).save()

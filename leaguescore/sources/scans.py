@@ -49,19 +49,36 @@ def markers_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def read_texts(spark: SparkSession, path: str, **options: str) -> DataFrame:
+def read_texts(
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = False,
+    header: list[str] | None = None,
+    **options: str,
+) -> DataFrame:
     """CSV with a header, every column as text, missing markers as null.
 
-    All files must have the header of the first one; another header fails rather
-    than putting values into the wrong columns.
+    Quotes within quoted text are doubled, as spreadsheets write them. With ``multi_line``
+    quoted text may have line breaks; a file is then one task. All files must have the
+    header of the first one; another header fails rather than putting values into the
+    wrong columns. A ``header`` that is known already is not read for a start.
     """
-    reader = spark.read.options(header=True, enforceSchema=False, **options)
+    dialect = {"header": True, "enforceSchema": False, "escape": '"', "multiLine": multi_line}
+    reader = spark.read.options(**{**dialect, **options})
+    if header:
+        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
     return markers_to_null(reader.csv(path))
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
+def scan_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    multi_line: bool = False,
+    **options: str,
+) -> DataFrame:
     """The columns of a declared schema, found in the header by name; others are not kept."""
-    texts = read_texts(spark, path, **options)
+    texts = read_texts(spark, path, multi_line, **options)
     return texts.select(
         *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]
     )

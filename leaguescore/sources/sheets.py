@@ -2,26 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+from functools import reduce
+from io import StringIO
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leaguescore.functions import rename_checked
 from leaguescore.schemas import PICK_HEADERS, SHEET_HEADERS, SHEET_TYPES
-from leaguescore.sources.scans import markers_to_null, read_texts
+from leaguescore.sources.scans import read_texts
+
+
+#: The first record of a file, which may have line breaks within quotes.
+HEADER = r'^\x{FEFF}?((?:"(?:[^"]|"")*"|[^"\r\n])*)'
+
+
+def sheet_name(file_name: Column) -> Column:
+    """A file's name from its URL form, where a plus sign is a plus sign."""
+    return F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
+
+
+def literally(text: str) -> str:
+    """A text as a pattern of paths that matches nothing else."""
+    return "".join(f"\\{c}" if c in "\\*?[]{}" else c for c in text)
 
 
 def scan_sheets(spark: SparkSession, folder: str, token: str) -> DataFrame:
     """All ``.csv`` files of a folder whose name holds the season token, as text.
 
-    Files are selected while listing, so others are never opened. ``sheet`` is
-    the file name, with the escapes of the file URL undone.
+    Files are selected while listing, so others are never opened. Each is read by its own
+    header, so their columns may come in different orders. A file whose columns are not those of
+    a sheet is one row without values, with ``columns_ok`` false; it does not keep the
+    others from being read. ``sheet`` is the file name.
     """
-    literal = "".join(f"\\{c}" if c in "\\*?[]{}" else c for c in token)
-    rows = spark.read.options(
-        header=True, enforceSchema=False, pathGlobFilter=f"*{literal}*.csv"
-    ).csv(folder)
-    named = markers_to_null(rows).select("*", F.col("_metadata.file_name").alias("sheet"))
-    return named.withColumn("sheet", F.url_decode("sheet"))
+    wanted = {"pathGlobFilter": f"*{literally(token)}*.csv"}
+    whole = spark.read.options(**wanted).text(folder, wholetext=True)
+    heads = whole.select(
+        F.regexp_extract("value", HEADER, 1).alias("header"), F.col("_metadata.file_path").alias("path")
+    ).groupBy("header")
+    frames, bad = [], []
+    for row in heads.agg(F.collect_list("path").alias("paths")).collect():  # one per sheet file
+        columns = next(csv.reader(StringIO(row["header"], newline="")), [])
+        if sorted(columns) != sorted(SHEET_HEADERS):
+            bad += row["paths"]
+            continue
+        paths = [literally(unquote(path)) for path in row["paths"]]
+        rows = read_texts(spark, paths, multi_line=True, header=columns)
+        frames.append(
+            rows.select(
+                *[F.col(f"`{h}`") for h in SHEET_HEADERS],
+                F.lit(True).alias("columns_ok"),
+                sheet_name(F.col("_metadata.file_name")).alias("sheet"),
+            )
+        )
+    if bad or not frames:
+        names = spark.createDataFrame([(p.rpartition("/")[2],) for p in bad], "name string")
+        frames.append(
+            names.select(
+                *[F.lit(None).cast("string").alias(h) for h in SHEET_HEADERS],
+                F.lit(False).alias("columns_ok"),
+                sheet_name(F.col("name")).alias("sheet"),
+            )
+        )
+    return reduce(DataFrame.unionByName, frames)
 
 
 def check_sheet_columns(columns: list[str]) -> None:
@@ -38,9 +83,10 @@ def sheets_from_headers(df: DataFrame, key: str = "sheet") -> DataFrame:
 
     Text that does not fit its type becomes missing, which the null check reports.
     """
-    check_sheet_columns([c for c in df.columns if c != key])
+    marks = [c for c in df.columns if c in (key, "columns_ok")]
+    check_sheet_columns([c for c in df.columns if c not in marks])
     return df.select(
-        key,
+        *marks,
         *[
             F.col(f"`{header}`").try_cast(SHEET_TYPES.get(name, "string")).alias(name)
             for header, name in SHEET_HEADERS.items()

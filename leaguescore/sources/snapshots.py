@@ -22,7 +22,8 @@ def named_snapshots(df: DataFrame, file_col: str) -> DataFrame:
 
 def snapshot_manifest(df: DataFrame, file_col: str) -> DataFrame:
     """Newest timestamp of every handle; timestamps order as text."""
-    return named_snapshots(df, file_col).groupBy("handle").agg(
+    names = df.select(file_col).distinct()
+    return named_snapshots(names, file_col).groupBy("handle").agg(
         F.max("snapshot_ts").alias("snapshot_ts")
     )
 
@@ -30,12 +31,14 @@ def snapshot_manifest(df: DataFrame, file_col: str) -> DataFrame:
 def latest_snapshot(df: DataFrame, file_col: str) -> DataFrame:
     """Rows of the newest snapshot of each handle.
 
-    The newest timestamps come from an aggregate and are joined back. A window
-    per handle would sort all rows of a handle in one task.
+    Names are taken apart once each, not once a row: the newest names come from an aggregate
+    over the distinct ones, and the rows are joined to them by name. A window per handle would
+    sort all rows of a handle in one task.
     """
-    newest = measured(snapshot_manifest(df, file_col))
-    rows = named_snapshots(df, file_col)
-    return rows.join(newest.side(newest.frame), ["handle", "snapshot_ts"], "left_semi").select(
+    names = named_snapshots(df.select(file_col).distinct(), file_col)
+    newest = names.groupBy("handle").agg(F.max("snapshot_ts").alias("snapshot_ts"))
+    current = measured(names.join(newest, ["handle", "snapshot_ts"], "left_semi"))
+    return df.join(current.side(current.frame), file_col).select(
         *df.columns, "handle", "snapshot_ts"
     )
 
@@ -54,13 +57,22 @@ def snapshot_freshness(remote: DataFrame, local: DataFrame) -> DataFrame:
 
 
 def list_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """The files of a folder as (path, file_name); their contents are not read."""
-    paths = spark.read.format("binaryFile").load(folder).select("path")
-    return paths.withColumn("file_name", F.url_decode(F.element_at(F.split("path", "/"), -1)))
+    """Files and folders of a folder as (path, file_name); their contents are not read.
+
+    The listing comes from the folder's own file system, names as they are. It has a row for
+    each snapshot. What Spark's writers leave beside their data is left out.
+    """
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [status.getPath() for status in store.listStatus(place)]
+    names = [(str(p.toString()), str(p.getName())) for p in found]
+    kept = [row for row in names if not row[1].startswith(("_", "."))]
+    return spark.createDataFrame(kept, "path string, file_name string")
 
 
 def read_latest(spark: SparkSession, folder: str, handle: str) -> DataFrame:
-    """Open the newest parquet snapshot of one handle; older ones are not read."""
+    """Open the newest parquet snapshot of one handle, a file or a folder; older ones are not read."""
     files = named_snapshots(list_snapshots(spark, folder), "file_name")
     newest = (
         files.where((F.col("handle") == handle) & F.col("file_name").endswith(".parquet"))

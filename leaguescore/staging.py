@@ -209,7 +209,7 @@ FROM {customer}
 """,
     "v_snapshots": """
 SELECT
-    o_orderpriority || ', ' || cast(cast(o_orderdate AS date) AS string) || ' 042746 EST.parquet' AS file_name,
+    o_orderpriority || ', ' || cast(cast(o_orderdate AS date) AS string) || ' 181500 UTC.parquet' AS file_name,
     o_orderstatus,
     o_orderkey,
     o_totalprice

@@ -1,6 +1,8 @@
 """Snapshots, parquet files and published tables."""
 
+import csv
 import tempfile
+from pathlib import Path
 
 import pytest
 
@@ -11,6 +13,7 @@ from leaguescore.sources import (
     latest_snapshot,
     list_snapshots,
     read_latest,
+    scan_csv,
     scan_parquet,
     snapshot_freshness,
     snapshot_manifest,
@@ -54,6 +57,38 @@ def test_read_latest_file(spark):
         read_latest(spark, folder, "stats")
 
 
+def test_read_latest_folder_and_odd_names(spark):
+    folder = tempfile.mkdtemp(prefix="snapshots-")
+    for stamp, n in (("2024-12-19 101010 UTC", 1), ("2024-12-20 101010 UTC", 2)):
+        spark.range(n).write.parquet(f"{folder}/a+b 50%, c, {stamp}.parquet")
+    spark.range(9).toPandas().to_parquet(f"{folder}/a b 50%, c, 2025-01-01 000000 UTC.parquet")
+    names = {r["file_name"] for r in list_snapshots(spark, folder).collect()}
+    assert "a+b 50%, c, 2024-12-20 101010 UTC.parquet" in names and len(names) == 3
+    assert read_latest(spark, folder, "a+b 50%, c").count() == 2
+    assert read_latest(spark, folder, "a b 50%, c").count() == 9
+
+
+def test_csv_is_read_by_others_and_back(spark, tmp_path):
+    texts = ['My "Best" team', " lead", "trail ", "a,b", "back\\slash", "two\nlines", 'q"']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, t string")
+    path = sinks.write_csv(df.coalesce(1), str(tmp_path / "out"), "1")
+    (part,) = Path(path).glob("part-*")
+    with part.open(newline="", encoding="utf-8") as file:
+        assert [row[1] for row in csv.reader(file)] == ["t", *texts]
+    with (tmp_path / "in.csv").open("w", newline="", encoding="utf-8") as file:
+        csv.writer(file).writerows([("n", "t"), *enumerate(texts)])
+    for place in (path, str(tmp_path / "in.csv")):
+        back = scan_csv(spark, place, df.schema, multi_line=True)
+        assert {r["n"]: r["t"] for r in back.collect()} == dict(enumerate(texts))
+
+
+def test_a_fraction_is_not_cut(spark, table):
+    row = (1, "QB1", *["x"] * 3, 1, *["x"] * 8, True, "x", 12.7, 1)
+    df = spark.createDataFrame([row], REPORT_SCHEMA)
+    with pytest.raises(Exception, match="not a whole number"):
+        sinks.publish(df, table)
+
+
 def test_scan_reads_named_columns_only(spark):
     df = scan_parquet(spark, f"{SF_DIR}/orders.parquet", "o_orderkey").where("o_orderkey > 5")
     plan = df._jdf.queryExecution().executedPlan().toString()
