@@ -119,14 +119,14 @@ def fit(
     """Cumulative-link regression by full-batch Adam with a ridge on the weights.
 
     Features of fewer than ``min_docs`` documents of the sample have no weight (of fewer
-    than one in 200 documents, if the sample is small). Without labelled documents the
+    than one in 500 documents, if the sample is small). Without labelled documents the
     highest grade is certain for all.
     """
     if not len(grades):
         return Model(np.zeros(BUCKETS, np.float32), np.full(n_grades - 1, -50.0))
     columns = np.concatenate(found)
     rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    min_docs = min(min_docs, max(2, len(found) // 200))
+    min_docs = min(min_docs, max(3, len(found) // 500))
     frequent = np.bincount(columns, minlength=BUCKETS) >= min_docs
     frequent &= np.bincount(columns, minlength=BUCKETS) < len(found)
     kept = frequent[columns]

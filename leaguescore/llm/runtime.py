@@ -125,7 +125,7 @@ def range_of(key: Column, starts: list) -> Column:
 
     def halve(span: Column, _: Column) -> Column:
         middle = ((span["low"] + span["high"]) / 2).cast("int")
-        right = (span["low"] < span["high"]) & (F.element_at(table, middle + 1) <= key)
+        right = (span["low"] < span["high"]) & (F.try_element_at(table, middle + 1) <= key)
         left = (span["low"] < span["high"]) & ~right
         return F.struct(
             F.when(right, middle + 1).otherwise(span["low"]).alias("low"),

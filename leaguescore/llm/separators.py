@@ -125,7 +125,7 @@ def stitch(blocks: DataFrame) -> DataFrame:
     placed = blocks.select(
         "file",
         F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("ordinal"),
-        F.coalesce(F.max(F.element_at("ends", -1)).over(before), F.lit(-1)).alias("last"),
+        F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))).over(before), F.lit(-1)).alias("last"),
         "ends",
         F.max(F.col("start") + F.col("n_ids")).over(whole).alias("file_end"),
         (F.max("start").over(whole) == F.col("start")).alias("is_last"),
