@@ -113,14 +113,16 @@ def fit(
     found: list[np.ndarray],
     n_grades: int,
     min_docs: int = 30,
-    ridge: float = 2.0,
+    min_errors: float = 4.0,
+    ridge: float = 0.5,
     rounds: int = 300,
 ) -> Model:
     """Cumulative-link regression by full-batch Adam with a ridge on the weights.
 
     Features of fewer than ``min_docs`` documents of the sample have no weight (of fewer
-    than one in 500 documents, if the sample is small). Without labelled documents the
-    highest grade is certain for all.
+    than one in 500 documents, if the sample is small), nor have those with which grades are
+    no more than ``min_errors`` standard errors from what they are without. Without labelled
+    documents the highest grade is certain for all.
     """
     if not len(grades):
         return Model(np.zeros(BUCKETS, np.float32), np.full(n_grades - 1, -50.0))
@@ -128,8 +130,15 @@ def fit(
     rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
     min_docs = min(min_docs, max(3, len(found) // 500))
     frequent = np.bincount(columns, minlength=BUCKETS) >= min_docs
-    frequent &= np.bincount(columns, minlength=BUCKETS) < len(found)
-    kept = frequent[columns]
+    telling = np.zeros(BUCKETS, dtype=bool)
+    for grade in range(1, n_grades):  # is the share of higher grades another with the feature?
+        higher = grades >= grade
+        share = np.clip(higher.mean(), 0.5 / len(found), 1 - 0.5 / len(found))
+        docs = np.bincount(columns, minlength=BUCKETS)
+        seen = np.bincount(columns, weights=higher[rows], minlength=BUCKETS)
+        spread = np.sqrt(np.maximum(docs, 1) * share * (1 - share))
+        telling |= np.abs(seen - docs * share) > min_errors * spread
+    kept = (frequent & telling)[columns]
     names, columns = np.unique(columns[kept], return_inverse=True)
     rows = rows[kept]
     n, d = len(found), len(names)
