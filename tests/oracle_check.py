@@ -55,7 +55,7 @@ def main() -> int:
     from conftest import make_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     sf_dir = f"{TESTDATA}/sf{sf}"
     spark, con, failed = make_session(), connect(sf_dir), 0
     for name in names:
