@@ -171,6 +171,7 @@ def count_tokens(
     files = [(name, f"{folder}/{name}") for name in sorted(names)]
     width = encoder(vocabulary).width
     found = stitch(scan_blocks(docs.sparkSession, files, width, end_id))
-    return placed.join(found, ["file", "ordinal"], "left").select(
+    # The plan sees a short list of files only, and would take what they hold for small.
+    return placed.join(found.hint("merge"), ["file", "ordinal"], "left").select(
         key, "file", "ordinal", "start", "n_tokens"
     )
