@@ -11,6 +11,7 @@ from leaguescore.operators.quality import (
     audit_counts,
     audited,
     contract_violations,
+    new_audits,
     sheet_violations,
 )
 from leaguescore.plans.bonuses import defense_bonus, offense_bonus, plays
@@ -22,7 +23,7 @@ from leaguescore.plans.report import (
     scored_report,
     sorted_report,
 )
-from leaguescore.plans.rosters import SheetViolation, consolidate
+from leaguescore.plans.rosters import SheetViolation, consolidate, measured_picks
 from leaguescore.plans.stats import kicker_stats, offense_stats, points_allowed
 from leaguescore.sinks import (
     ContractViolation,
@@ -60,7 +61,9 @@ __all__ = [
     "latest_snapshot",
     "league_report",
     "measured",
+    "measured_picks",
     "nan_to_null",
+    "new_audits",
     "offense_bonus",
     "offense_stats",
     "players",

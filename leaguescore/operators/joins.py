@@ -93,17 +93,14 @@ def describe_players(
     rows: DataFrame,
     teams: DataFrame | Dimension,
     people: Dimension,
-    carry: tuple[str, ...] = (),
-    how: str = "left",
 ) -> DataFrame:
     """Add the player and team columns, label and trade flag to rows of players.
 
-    Several people per id multiply the rows; rows without a match stay under
-    ``how="left"``, with the flag set. People come first, so that an inner join
-    leaves fewer rows for the teams.
+    Several people per id multiply the rows; rows without a match stay, with the
+    flag set.
     """
     own = [c for c in rows.columns if c not in ("position", "player_name")]
-    matched = attach(rows.select(*own), people, "player_id", "roster_player_id", how)
+    matched = attach(rows.select(*own), people, "player_id", "roster_player_id")
     return join_teams(matched, teams).select(
         *own,
         "team_conf",
@@ -114,5 +111,4 @@ def describe_players(
             F.col("position"), F.col("team_abbr"), F.col("player_name"), F.col("team_division")
         ).alias("lookup_string"),
         differs(F.col("team_abbr"), F.col("roster_team_abbr")).alias("subsequently_traded"),
-        *carry,
     )

@@ -124,24 +124,49 @@ def sheet_violations(sheets: DataFrame, strict: bool = False) -> DataFrame:
     return verdicts.unpivot(["sheet"], rules_of(verdicts), "rule", "ok")
 
 
-def audit_columns(positions: Sequence[str] = BONUS_POSITIONS) -> list[Column]:
-    """Counts worth a warning on scored rows."""
+#: What is worth a warning, as conditions on rows.
+CONDITIONS = {
+    "traded": "subsequently_traded",
+    "without_player": "player_name IS NULL",
+    "out_of_scope": "position IS NULL OR position NOT IN ({})".format(
+        ", ".join(f"'{p}'" for p in BONUS_POSITIONS)
+    ),
+    "unscored": "fantasy_points IS NULL",
+}
+
+#: The conditions that mean something for each source of rows.
+AUDITS = {
+    "offense": ("traded", "without_player"),
+    "kicking": ("traded", "without_player"),
+    "player_bonus": ("traded", "without_player", "out_of_scope"),
+    "points_allowed": ("unscored",),
+}
+
+
+def audit_columns(source: str, copies: int = 1) -> list[Column]:
+    """Counts of a source's conditions; a wide row counts ``copies`` times, once per stat."""
     return [
-        F.count_if(F.col("subsequently_traded")).alias("traded"),
-        F.count_if(F.col("player_name").isNull()).alias("without_player"),
-        F.count_if(not_in(F.col("position"), positions)).alias("out_of_scope"),
-        F.count_if(F.col("fantasy_points").isNull()).alias("unscored"),
+        (F.expr(f"count_if({CONDITIONS[name]})") * F.lit(copies).cast("bigint")).alias(name)
+        for name in AUDITS[source]
     ]
 
 
-def audit_counts(scored: DataFrame, *groups: str) -> DataFrame:
-    return scored.groupBy(*groups).agg(*audit_columns())
+def audit_counts(rows: DataFrame, source: str, copies: int = 1) -> DataFrame:
+    """One row: the source and its counts."""
+    counts = rows.agg(*audit_columns(source, copies))
+    return counts.select(F.lit(source).alias("source"), "*")
 
 
-def audited(scored: DataFrame, name: str = "audit") -> tuple[DataFrame, Observation]:
-    """The same rows, with the audit taken while they are written: no second pass."""
-    seen = Observation(name)
-    return scored.observe(seen, *audit_columns()), seen
+def audited(
+    rows: DataFrame, source: str, seen: Observation | None, copies: int = 1
+) -> DataFrame:
+    """The same rows, counted into ``seen`` by the job that first uses them: no second pass."""
+    return rows if seen is None else rows.observe(seen, *audit_columns(source, copies))
+
+
+def new_audits() -> dict[str, Observation]:
+    """An observation for each source, to be filled by one run."""
+    return {source: Observation(source) for source in AUDITS}
 
 
 def contract_violations(

@@ -215,17 +215,21 @@ WHERE season_type IN ('REG', 'POST') AND position IN ('QB', 'RB', 'FB', 'WR', 'T
 SELECT 'K' AS position, week, {SEASON_CASE} AS season_type, player_id, player_name, team AS team_abbr,
     fg_made, fg_made_40_49, fg_made_50_59 + fg_made_60_ AS fg_made_50plus, fg_missed, fg_blocked,
     pat_made, pat_missed
-FROM v_kicking""",
+FROM v_kicking
+WHERE season_type IN ('REG', 'POST')""",
     "c_plays": f"""
 SELECT * REPLACE ({SEASON_CASE} AS season_type,
-    CASE WHEN NOT isnan(passing_yards) THEN passing_yards END AS passing_yards)
-FROM v_pbp""",
+    CASE WHEN NOT isnan(passing_yards) THEN passing_yards END AS passing_yards,
+    CASE WHEN NOT isnan(pass_touchdown) THEN pass_touchdown END AS pass_touchdown,
+    CASE WHEN NOT isnan(sack) THEN sack END AS sack)
+FROM v_pbp
+WHERE season_type IN ('REG', 'POST')""",
     "c_against": f"""
 SELECT DISTINCT week, {SEASON_CASE} AS season_type, home_team AS team_abbr, cast(away_score AS double) AS football_value
-FROM v_games
+FROM v_games WHERE season_type IN ('REG', 'POST')
 UNION ALL
 SELECT DISTINCT week, {SEASON_CASE} AS season_type, away_team AS team_abbr, cast(home_score AS double) AS football_value
-FROM v_games""",
+FROM v_games WHERE season_type IN ('REG', 'POST')""",
     "c_allowed": f"""
 SELECT *, 'def_points_allowed' AS stat_label,
     cast({BAND_CASE.format(v="football_value")} AS bigint) AS fantasy_points
@@ -401,20 +405,23 @@ FROM c_kicking k LEFT JOIN c_players p ON k.player_id IS NOT DISTINCT FROM p.pla
     "sheet_violations": "\nUNION ALL\n".join(
         f"SELECT sheet, '{rule}' AS rule, \"{rule}\" AS ok FROM c_checks" for rule in RULES
     ),
-    "audit_counts": "\nUNION ALL\n".join(
-        f"""
-SELECT '{source}' AS source, count(*) FILTER (WHERE subsequently_traded) AS traded,
+    "audit_counts": """
+SELECT 'offense' AS source, count(*) FILTER (WHERE subsequently_traded) AS traded,
     count(*) FILTER (WHERE player_name IS NULL) AS without_player,
-    count(*) FILTER (WHERE position IS NULL OR position NOT IN ('QB', 'RB', 'WR', 'TE')) AS out_of_scope,
-    count(*) FILTER (WHERE fantasy_points IS NULL) AS unscored
-FROM {part}"""
-        for source, part in (
-            ("offense", "c_offense_stats"),
-            ("kicking", "c_kicker_stats"),
-            ("player_bonus", "c_bonus_rows"),
-            ("points_allowed", "c_points_allowed"),
-        )
-    ),
+    cast(NULL AS bigint) AS out_of_scope, cast(NULL AS bigint) AS unscored
+FROM c_offense_stats
+UNION ALL
+SELECT 'kicking', count(*) FILTER (WHERE subsequently_traded),
+    count(*) FILTER (WHERE player_name IS NULL), NULL, NULL
+FROM c_kicker_stats
+UNION ALL
+SELECT 'player_bonus', count(*) FILTER (WHERE subsequently_traded),
+    count(*) FILTER (WHERE player_name IS NULL),
+    count(*) FILTER (WHERE position IS NULL OR position NOT IN ('QB', 'RB', 'WR', 'TE')), NULL
+FROM c_bonus_rows
+UNION ALL
+SELECT 'points_allowed', NULL, NULL, NULL, count(*) FILTER (WHERE fantasy_points IS NULL)
+FROM c_points_allowed""",
     "union_all_stats": melted("c_offense", STAT_IDS, OFFENSE_POINTS)
     + "\nUNION ALL\n"
     + melted("c_kicking", STAT_IDS, KICKING_POINTS),
@@ -434,7 +441,7 @@ FROM v_games""",
     "dim_players": "SELECT * FROM c_players",
     "offense_stats": "SELECT * FROM c_offense_stats",
     "kicker_stats": "SELECT * FROM c_kicker_stats",
-    "plays": "SELECT * REPLACE (CASE WHEN NOT isnan(passing_yards) THEN passing_yards END AS passing_yards) FROM c_plays",
+    "plays": "SELECT * FROM c_plays",
     "offense_bonus": "SELECT * FROM c_offense_bonus",
     "defense_bonus": "SELECT * FROM c_defense_bonus",
     "defense_points_allowed": "SELECT * FROM c_points_allowed",

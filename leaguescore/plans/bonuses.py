@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from leaguescore.functions import in_seasons, nan_to_null, recode
@@ -14,6 +14,7 @@ from leaguescore.operators.joins import (
     describe_players,
     people_dimension,
 )
+from leaguescore.operators.quality import audited
 from leaguescore.plans.stats import describe_defense
 from leaguescore.rules import DEFENSE_EVENTS, OFFENSE_EVENTS, EventRule
 from leaguescore.schemas import BONUS_POSITIONS, PLAY_COLUMNS, SCORED_COLUMNS
@@ -33,14 +34,13 @@ def describe_player_bonus(
     teams: DataFrame | Dimension,
     people: Dimension,
     carry: tuple[str, ...] = (),
-    how: str = "left",
 ) -> DataFrame:
     """Complete player bonus rows, of whatever position.
 
     The label keeps the rostered position; only the position column turns a
     fullback into a running back.
     """
-    named = describe_players(counts, teams, people, carry, how)
+    named = describe_players(counts, teams, people)
     return named.withColumn("position", recode(F.col("position"), {"FB": "RB"})).select(
         *SCORED_COLUMNS, *carry
     )
@@ -51,11 +51,12 @@ def offense_bonus(
     players: DataFrame | Dimension,
     teams: DataFrame | Dimension,
     rules: Sequence[EventRule] = OFFENSE_EVENTS,
+    seen: Observation | None = None,
 ) -> DataFrame:
-    """Player bonuses, kept for the offense positions only."""
+    """Player bonuses, kept for the offense positions only; ``seen`` counts the others too."""
     people = people_dimension(players)
     rows = describe_player_bonus(bonus_counts(play_rows, rules), teams, people)
-    return rows.where(F.col("position").isin(*BONUS_POSITIONS))
+    return audited(rows, "player_bonus", seen).where(F.col("position").isin(*BONUS_POSITIONS))
 
 
 def defense_bonus(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from leaguescore.functions import is_not, true_if_missing
@@ -14,7 +14,6 @@ from leaguescore.operators.joins import (
     attach,
     measured,
     people_dimension,
-    people_of,
 )
 from leaguescore.operators.reshape import union_all
 from leaguescore.plans.bonuses import (
@@ -96,73 +95,51 @@ def scored_report(picks: DataFrame, scored: DataFrame) -> DataFrame:
     return union_all(score_player_picks(picks, scored), score_defense_picks(picks, scored))
 
 
-def all_scored_stats(league: League) -> DataFrame:
-    """Every scored row of the league."""
-    people = people_dimension(league.players)
+def all_scored_stats(
+    league: League, audits: Mapping[str, Observation] | None = None
+) -> DataFrame:
+    """Every scored row of the league; the run that first uses them fills ``new_audits()``."""
+    people, seen = people_dimension(league.players), audits or {}
+    facts = {"players": people, "teams": league.teams}
     return union_all(
-        offense_stats(league.offense, league.seasons, people, league.teams),
-        offense_bonus(league.plays, people, league.teams),
-        kicker_stats(league.kicking, league.seasons, people, league.teams),
-        points_allowed(league.games, league.seasons, league.teams),
+        offense_stats(league.offense, league.seasons, **facts, seen=seen.get("offense")),
+        offense_bonus(league.plays, **facts, seen=seen.get("player_bonus")),
+        kicker_stats(league.kicking, league.seasons, **facts, seen=seen.get("kicking")),
+        points_allowed(
+            league.games, league.seasons, league.teams, seen=seen.get("points_allowed")
+        ),
         defense_bonus(league.plays, league.teams),
     )
 
 
-def picked_people(picks: DataFrame, players: DataFrame) -> DataFrame:
-    """Player picks with the roster rows of their player, shaped like ``people_of`` rows.
-
-    A pick of a player who is on no roster keeps its row, with the roster columns null.
-    """
-    chosen = player_picks(picks).withColumnRenamed("player_id", "picked_id")
-    people = people_of(players)
-    return chosen.join(
-        people, F.col("picked_id").eqNullSafe(F.col("roster_player_id")), "left"
-    ).select(
-        F.col("picked_id").alias("roster_player_id"),
-        "roster_team_abbr",
-        "position",
-        "player_name",
-        *PLAYER_PICK_COLUMNS,
-    )
-
-
-def league_report(picks: DataFrame, league: League) -> DataFrame:
+def league_report(picks: DataFrame | Dimension, league: League) -> DataFrame:
     """The report straight from the raw facts; same rows as ``scored_report``.
 
-    Picks are joined to the player dimension first, and the result to the wide
-    weekly rows. So each fact meets the picks in one join on ``player_id``,
-    before the melt multiplies it by 13, and rows of players nobody picked go no
-    further. A player row of the facts with the team marker as its id is left out, as in
-    ``scored_report``.
+    Picks are joined to the wide weekly rows first, before the melt multiplies them by 13,
+    so rows of players nobody picked go no further; players and teams come after them. With
+    picks from ``measured_picks``, no check of the sheets runs while the plan is made. A player
+    row of the facts with the team marker as its id is left out, as in ``scored_report``.
     """
-    is_player = is_not(F.col("player_id"), NO_PLAYER)
-    picked = measured(picked_people(picks, league.players))
+    sheet_rows, people = measured(picks), people_dimension(league.players)
+    chosen = player_picks(sheet_rows.frame).withColumnRenamed("player_id", "picked_id")
+    chosen = Dimension(chosen, sheet_rows.fits)
+
+    def picked(rows: DataFrame) -> DataFrame:
+        rows = rows.where(is_not(F.col("player_id"), NO_PLAYER))
+        return attach(rows, chosen, "player_id", "picked_id", "inner")
+
+    offense = picked(offense_wide(league.offense, league.seasons))
+    kicking = picked(kicking_wide(league.kicking, league.seasons))
+    counts = picked(bonus_counts(league.plays, OFFENSE_EVENTS))
+    bonus = describe_player_bonus(counts, league.teams, people, PLAYER_PICK_COLUMNS)
     player_rows = (
         score_wide(
-            offense_wide(league.offense, league.seasons).where(is_player),
-            OFFENSE_STATS,
-            OFFENSE_RULES,
-            league.teams,
-            picked,
-            PLAYER_PICK_COLUMNS,
-            "inner",
+            offense, OFFENSE_STATS, OFFENSE_RULES, league.teams, people, PLAYER_PICK_COLUMNS
         ),
         score_wide(
-            kicking_wide(league.kicking, league.seasons).where(is_player),
-            KICKING_STATS,
-            KICKING_RULES,
-            league.teams,
-            picked,
-            PLAYER_PICK_COLUMNS,
-            "inner",
+            kicking, KICKING_STATS, KICKING_RULES, league.teams, people, PLAYER_PICK_COLUMNS
         ),
-        describe_player_bonus(
-            bonus_counts(league.plays, OFFENSE_EVENTS).where(is_player),
-            league.teams,
-            picked,
-            PLAYER_PICK_COLUMNS,
-            "inner",
-        ).where(F.col("position").isin(*BONUS_POSITIONS)),
+        bonus.where(F.col("position").isin(*BONUS_POSITIONS)),
     )
     defense_rows = union_all(
         points_allowed(league.games, league.seasons, league.teams),
@@ -170,7 +147,7 @@ def league_report(picks: DataFrame, league: League) -> DataFrame:
     )
     return union_all(
         *[rows.select(*REPORT_COLUMNS) for rows in player_rows],
-        score_defense_picks(picks, defense_rows),
+        score_defense_picks(sheet_rows.frame, defense_rows),
     )
 
 

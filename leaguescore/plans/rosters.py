@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguescore.functions import short_owner
+from leaguescore.operators.joins import Dimension, measured
 from leaguescore.operators.quality import rules_of, sheet_verdicts, sheet_violations
 from leaguescore.schemas import PICK_COLUMNS
 
@@ -49,3 +50,15 @@ def consolidate(sheets: DataFrame, on_violation: str = "raise", strict: bool = F
         valid = verdicts.where(reduce(lambda left, right: left & right, rules)).select("sheet")
         kept = sheets.join(valid, "sheet", "left_semi")
     return drop_personal(kept.withColumn("fantasy_owner", short_owner(F.col("fantasy_owner"))))
+
+
+def measured_picks(
+    sheets: DataFrame, on_violation: str = "raise", strict: bool = False
+) -> Dimension:
+    """``consolidate`` as a dimension, measured on the sheets as they are.
+
+    Consolidation only leaves rows out and shortens names, so that size is an upper
+    bound, and finding it needs no check.
+    """
+    fits = measured(drop_personal(sheets)).fits
+    return Dimension(consolidate(sheets, on_violation, strict), fits)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from leaguescore.functions import add_constants, in_seasons, nan_to_null
@@ -15,6 +15,7 @@ from leaguescore.operators.joins import (
     measured,
     people_dimension,
 )
+from leaguescore.operators.quality import audited
 from leaguescore.operators.reshape import melt_scored, points_against
 from leaguescore.rules import (
     KICKING_RULES,
@@ -67,15 +68,17 @@ def score_wide(
     teams: DataFrame | Dimension,
     people: Dimension,
     carry: tuple[str, ...] = (),
-    how: str = "left",
+    source: str = "offense",
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Join the dimensions to the wide rows, then melt and score.
 
     The join keys are id columns, so joining ahead of the melt gives the same
     rows and joins (and, without a broadcast, shuffles) one row per player-week
-    in place of one per stat.
+    in place of one per stat. The audit of ``seen`` is taken there too. ``carry``
+    names columns of the wide rows to keep.
     """
-    described = describe_players(wide, teams, people, carry, how)
+    described = audited(describe_players(wide, teams, people), source, seen, len(stats))
     return melt_scored(described, (*SCORED_IDS, *carry), stats, scores_by_label(rules))
 
 
@@ -85,9 +88,11 @@ def offense_stats(
     players: DataFrame | Dimension,
     teams: DataFrame | Dimension,
     rules: Sequence[Linear | FloorDiv] = OFFENSE_RULES,
+    seen: Observation | None = None,
 ) -> DataFrame:
     people = people_dimension(players)
-    return score_wide(offense_wide(raw, seasons), OFFENSE_STATS, rules, teams, people)
+    wide = offense_wide(raw, seasons)
+    return score_wide(wide, OFFENSE_STATS, rules, teams, people, source="offense", seen=seen)
 
 
 def kicker_stats(
@@ -96,9 +101,11 @@ def kicker_stats(
     players: DataFrame | Dimension,
     teams: DataFrame | Dimension,
     rules: Sequence[Linear | FloorDiv] = KICKING_RULES,
+    seen: Observation | None = None,
 ) -> DataFrame:
     people = people_dimension(players)
-    return score_wide(kicking_wide(raw, seasons), KICKING_STATS, rules, teams, people)
+    wide = kicking_wide(raw, seasons)
+    return score_wide(wide, KICKING_STATS, rules, teams, people, source="kicking", seen=seen)
 
 
 def describe_defense(rows: DataFrame, teams: DataFrame | Dimension) -> DataFrame:
@@ -132,10 +139,11 @@ def points_allowed(
     seasons: Iterable[str],
     teams: DataFrame | Dimension,
     bands: Sequence[Band] = POINTS_ALLOWED_BANDS,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Points of every defense for the scores against it, from games or from plays."""
     against = points_against(nan_to_null(in_seasons(games, seasons)))
     scored = against.withColumn("stat_label", F.lit(POINTS_ALLOWED_LABEL)).withColumn(
         "fantasy_points", compile_bands(bands, "football_value")
     )
-    return describe_defense(scored, teams)
+    return describe_defense(audited(scored, "points_allowed", seen), teams)

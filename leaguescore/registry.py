@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -467,19 +467,19 @@ def sheet_violations(spark, sf_dir):
 
 @query
 def audit_counts(spark, sf_dir):
+    """Each source's own counts; null where a condition means nothing for it."""
     inputs = Inputs(spark, sf_dir)
     league = inputs.league()
     people = people_dimension(league.players)
+    teams, bonus = league.teams, bonuses.bonus_counts(league.plays, OFFENSE_EVENTS)
     parts = {
-        "offense": stats.offense_stats(league.offense, SEASONS, people, league.teams),
-        "kicking": stats.kicker_stats(league.kicking, SEASONS, people, league.teams),
-        "player_bonus": bonuses.describe_player_bonus(
-            bonuses.bonus_counts(league.plays, OFFENSE_EVENTS), league.teams, people
-        ),
-        "points_allowed": stats.points_allowed(league.games, SEASONS, league.teams),
+        "offense": (describe_players(inputs.offense(), teams, people), len(OFFENSE_STATS)),
+        "kicking": (describe_players(inputs.kicking(), teams, people), len(KICKING_STATS)),
+        "player_bonus": (bonuses.describe_player_bonus(bonus, teams, people), 1),
+        "points_allowed": (stats.points_allowed(league.games, SEASONS, teams), 1),
     }
-    rows = union_all(*[df.withColumn("source", F.lit(name)) for name, df in parts.items()])
-    return quality.audit_counts(rows, "source")
+    counts = [quality.audit_counts(df, name, copies) for name, (df, copies) in parts.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
 
 
 # Set operations, reshape, sort
@@ -628,7 +628,7 @@ def all_scored_stats(spark, sf_dir):
 def scored_report(spark, sf_dir):
     """The flagship: valid rosters with every scored row of their picks."""
     inputs = Inputs(spark, sf_dir)
-    picks = rosters.consolidate(inputs.sheets(), on_violation="drop")
+    picks = rosters.measured_picks(inputs.sheets(), on_violation="drop")
     return report.league_report(picks, inputs.league())
 
 

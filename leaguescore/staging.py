@@ -81,7 +81,8 @@ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
     "v_kicking": """
 SELECT
     cast(month(o_orderdate) AS int) AS week,
-    CASE WHEN month(o_orderdate) >= 11 THEN 'POST' ELSE 'REG' END AS season_type,
+    CASE WHEN month(o_orderdate) >= 11 THEN 'POST' WHEN month(o_orderdate) = 1 THEN 'PRE'
+        ELSE 'REG' END AS season_type,
     cast(o_custkey AS string) AS player_id,
     'K' || cast(o_custkey AS string) AS player_name,
     'T' || lpad(cast(o_orderkey % 26 AS string), 2, '0') AS team,
@@ -100,7 +101,7 @@ SELECT
     'G' || cast(user_id AS string) AS game_id,
     cast(cast(ts AS date) AS string) AS game_date,
     cast(floor((day(ts) - 1) / 7.0) AS int) AS week,
-    CASE WHEN day(ts) > 21 THEN 'POST' ELSE 'REG' END AS season_type,
+    CASE WHEN day(ts) > 21 THEN 'POST' WHEN day(ts) < 4 THEN 'PRE' ELSE 'REG' END AS season_type,
     'T' || lpad(cast(c_nationkey AS string), 2, '0') AS home_team,
     'T' || lpad(cast(event_id % 26 AS string), 2, '0') AS away_team,
     cast(floor(value) AS int) % 60 AS home_score,
@@ -114,7 +115,8 @@ SELECT
     event_type || ' by ' || c_name AS desc,
     CASE event_type WHEN 'purchase' THEN 'Touchdown' ELSE 'Punt' END AS fixed_drive_result,
     cast(event_id % 2 AS int) AS touchdown,
-    cast(event_id % 3 AS int) AS pass_touchdown,
+    CASE WHEN event_id % 29 = 0 THEN cast('NaN' AS double)
+        ELSE cast(event_id % 3 AS double) END AS pass_touchdown,
     cast(event_id % 2 AS int) AS rush_touchdown,
     cast(event_id % 4 AS int) AS return_touchdown,
     value AS yards_gained,
@@ -146,7 +148,8 @@ SELECT
     cast(user_id + 8 AS string) AS fumbled_1_player_id,
     'FR' || cast(user_id AS string) AS fumble_recovery_1_player_name,
     cast(user_id + 9 AS string) AS fumble_recovery_1_player_id,
-    cast(event_id % 5 AS int) AS sack,
+    CASE WHEN event_id % 23 = 0 THEN cast('NaN' AS double)
+        ELSE cast(event_id % 5 AS double) END AS sack,
     'SK' || cast(user_id AS string) AS sack_player_name,
     cast(user_id + 10 AS string) AS sack_player_id,
     'H1' || cast(user_id AS string) AS half_sack_1_player_name,
@@ -170,7 +173,8 @@ FROM {events} JOIN {customer} ON user_id = c_custkey
     "v_games": """
 SELECT
     cast(month(o_orderdate) AS int) AS week,
-    CASE WHEN month(o_orderdate) >= 11 THEN 'POST' ELSE 'REG' END AS season_type,
+    CASE WHEN month(o_orderdate) >= 11 THEN 'POST' WHEN month(o_orderdate) = 1 THEN 'PRE'
+        ELSE 'REG' END AS season_type,
     'T' || lpad(cast(o_orderkey % 25 AS string), 2, '0') AS home_team,
     'T' || lpad(cast((o_orderkey + 7) % 26 AS string), 2, '0') AS away_team,
     CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE cast(floor(o_totalprice) AS bigint) % 60 END AS home_score,

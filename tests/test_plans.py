@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from leaguescore.functions import in_seasons
 from leaguescore.operators.events import count_events, events_of
-from leaguescore.operators.joins import Dimension, describe_players
-from leaguescore.plans import report
+from leaguescore.operators.joins import Dimension, describe_players, measured
+from leaguescore.plans import report, rosters
 from leaguescore.plans.bonuses import plays
 from leaguescore.registry import QUERIES, Inputs
 from leaguescore.rules import DEFENSE_EVENTS, OFFENSE_EVENTS
@@ -76,6 +76,22 @@ def test_report_scans_each_fact_as_planned(spark):
     assert scans_of(plan, "events") == 2  # player events and team events
 
 
+def test_picks_are_measured_without_a_check_of_the_sheets(spark):
+    sheets = Inputs(spark, SF_DIR).sheets()
+
+    def jobs_of(name, build):
+        spark.sparkContext.setJobGroup(name, name)
+        build()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    direct = jobs_of("raw sheets", lambda: rosters.measured_picks(sheets, on_violation="drop"))
+    checked = jobs_of(
+        "checked sheets", lambda: measured(rosters.consolidate(sheets, on_violation="drop"))
+    )
+    assert 0 < direct < checked
+
+
 def test_season_filter_reaches_the_scan(spark):
     path = tempfile.mkdtemp(prefix="seasons-") + "/plays"
     spark.createDataFrame([("REG", 1), ("PRE", 2)], "season_type string, n int").write.parquet(path)

@@ -1,15 +1,13 @@
 """Joins, dimensions and the report."""
 
-from datetime import datetime
-
 import pytest
 from pyspark.sql import functions as F
 
 import leaguescore as ls
 from leaguescore.operators.joins import Dimension, measured, people_dimension
-from leaguescore.operators.quality import audited, contract_violations
+from leaguescore.operators.quality import AUDITS, contract_violations, new_audits
 from leaguescore.plans import dimensions, report, rosters, stats
-from leaguescore.registry import SEASONS, Inputs
+from leaguescore.registry import QUERIES, SEASONS, Inputs
 from leaguescore.schemas import (
     KICKING_STATS,
     PICK_COLUMNS,
@@ -165,11 +163,23 @@ def test_contract_counts(spark):
 
 
 def test_audit_is_taken_on_the_way(spark, players, teams):
-    rows = scored_kicks(spark, players, teams, ("a", "T02"), ("unknown", "T01"))
-    watched, seen = audited(rows, f"audit-{datetime.now().timestamp()}")
-    watched.write.format("noop").mode("overwrite").save()
+    seen = new_audits()["kicking"]
+    wide = kicks(spark, ("a", "T02"), ("unknown", "T01"))
+    rows = stats.kicker_stats(wide, SEASONS, players, teams, seen=seen)
+    rows.write.format("noop").mode("overwrite").save()
     n = len(KICKING_STATS)
-    assert seen.get == {"traded": 2 * n, "without_player": n, "out_of_scope": 2 * n, "unscored": 0}
+    assert seen.get == {"traded": 2 * n, "without_player": n}
+
+
+def test_one_run_fills_the_audits_of_all_sources(spark):
+    audits = new_audits()
+    rows = report.all_scored_stats(Inputs(spark, SF_DIR).league(), audits)
+    rows.write.format("noop").mode("overwrite").save()
+    counted = {r["source"]: r.asDict() for r in QUERIES["audit_counts"](spark, SF_DIR).collect()}
+    assert counted.keys() == audits.keys() == AUDITS.keys()
+    for source, seen in audits.items():
+        assert seen.get == {name: counted[source][name] for name in AUDITS[source]}
+        assert {k for k, v in counted[source].items() if v is not None} == {"source", *AUDITS[source]}
 
 
 def test_sorted_report_puts_missing_last(spark):
