@@ -8,7 +8,8 @@ into the open sequence that fits it under every constraint and scores best:
 * ``dot``: the largest weighted dot product of the piece and what is left before.
 
 Pieces are dealt by a hash into groups of about ``GROUP_ROWS`` rows that are packed side by
-side. The number of groups grows with the table; each costs at most a few sequences.
+side. The number of groups grows with the table; each costs at most a few sequences. The hash
+includes the partition, so rows alike, were they a third of all, do not meet in one group.
 """
 
 from __future__ import annotations
@@ -138,13 +139,15 @@ def pack(
     """The same rows with ``sequence_id`` and ``offset``, gapless from 0 in each sequence.
 
     ``n_rows``: about how many rows there are, to set the number of groups; smaller groups
-    suit rows that carry their ids. Columns of the result's names are replaced. Rows whose length is null or less than one are not
-    packed: both new columns are null.
+    suit rows that carry their ids. Columns of the result's names are replaced. Rows whose
+    length is null or less than one are not packed: both new columns are null. A row's group
+    depends on its values and on its partition, not on the order of rows there, so a task
+    that runs again deals its rows alike.
     """
     own = [c for c in pieces.columns if c not in ("sequence_id", "offset", "_group")]
     n_groups = max(1, -(-n_rows // group_rows))
     narrow = [c for c in own if not isinstance(pieces.schema[c].dataType, _WIDE)]
-    group = F.pmod(F.xxhash64(*narrow), F.lit(n_groups))
+    group = F.pmod(F.xxhash64(*narrow, F.spark_partition_id()), F.lit(n_groups))
     kept = pieces.select(*[F.col(f"`{c}`") for c in own]).withColumn("_group", group)
     schema = T.StructType(
         [

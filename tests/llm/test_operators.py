@@ -77,6 +77,18 @@ def ids_of(name):
     return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_rows_alike_are_packed_in_several_groups(spark):
+    alike = spark.range(0, 4000, 1, 8).select(
+        F.lit(7).cast("long").alias("doc_id"), F.lit(100).cast("long").alias("length")
+    )
+    rows = packing.pack(alike, packing.Capacity(), n_rows=4000, group_rows=100).collect()
+    assert len(rows) == 4000
+    groups = Counter(r["sequence_id"] >> 32 for r in rows)
+    assert len(groups) > 1 and max(groups.values()) < 4000
+    places = Counter((r["sequence_id"], r["offset"]) for r in rows)
+    assert set(places.values()) == {1} and {o for _, o in places} == set(range(0, 1000, 100))
+
+
 @pytest.mark.parametrize("name", [registry.BYTE_BPE, registry.WORD_BPE])
 def test_encoder_gives_the_tokenizers_ids(name):
     random.seed(3)
