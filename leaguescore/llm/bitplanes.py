@@ -156,13 +156,15 @@ def write_files(
     bits: bool = False,
     key: str = "doc_id",
     text: str = "text",
+    special_ids: bool = False,
 ) -> list[dict]:
     """Encode documents and write them in ascending key order, a file for each key range.
 
     Returns the manifest, one entry per file: path, documents and ids, ranges ascending.
     Rows of one key are ordered by text; null keys come last; a null text is empty. A task
     that is run again writes a file of its own; the manifest names the file of the attempt
-    that ended well.
+    that ended well. With ``special_ids``, text that spells a special token is that token,
+    else ordinary text.
     """
     n = partition_count(docs.sparkSession)
     starts = range_starts(docs, key, n)
@@ -170,7 +172,7 @@ def write_files(
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        own = encoder(vocabulary)
+        own = encoder(vocabulary, special_ids)
         attempt = TaskContext.get().taskAttemptId()
         end, file, now = int(end_id).to_bytes(4, "little"), None, None
 

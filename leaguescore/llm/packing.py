@@ -51,15 +51,17 @@ def cut_pieces(
     end_id: int = 2,
     key: str = "doc_id",
     text: str = "text",
+    special_ids: bool = False,
 ) -> DataFrame:
     """``(key, piece, start, length, ids)``: documents as token ids, cut where too long.
 
     ``ids`` are little-endian unsigned 32-bit integers, the document's end id last. All
-    pieces of a long document but the first have ``tokens`` ids. A null text is empty.
+    pieces of a long document but the first have ``tokens`` ids. A null text is empty. With
+    ``special_ids``, text that spells a special token is that token, else ordinary text.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary, special_ids).encode
         end = int(end_id).to_bytes(4, "little")
         for batch in pieces_of(batches, text):
             rows, numbers, starts, ids = [], [], [], []

@@ -89,13 +89,14 @@ def op8_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    pieces = packing.cut_pieces(docs, public_vocabulary(BYTE_BPE), tokens=1024)
+    pieces = packing.cut_pieces(docs, public_vocabulary(BYTE_BPE), tokens=1024, special_ids=True)
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(digests, packing.Capacity(), n_rows=docs.count())
 
 
 def op10_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read_back = bitplanes.round_trip(documents(spark, sf_dir), public_vocabulary(WORD_BPE))
+    docs, vocabulary = documents(spark, sf_dir), public_vocabulary(WORD_BPE)
+    read_back = bitplanes.round_trip(docs, vocabulary, special_ids=True)
     return read_back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

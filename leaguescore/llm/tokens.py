@@ -4,7 +4,7 @@ A byte-pair tokenizer cuts a text into pieces by a fixed pattern and encodes eac
 its own, so the ids of a text are those of its pieces, one after another. Corpora repeat
 pieces: a worker keeps what it has encoded, up to ``KEPT`` pieces, and looks up the rest.
 Texts with characters beyond Latin-1, where the pattern's classes are not spelled out here,
-are given to the tokenizer whole.
+are given to the tokenizer whole, as are those that spell a special token where it has its id.
 """
 
 from __future__ import annotations
@@ -38,14 +38,17 @@ BEYOND = re.compile("[^\x00-\xff]")
 
 
 class Encoder:
-    """Texts to little-endian unsigned 32-bit ids, without special tokens.
+    """Texts to little-endian unsigned 32-bit ids, to which no special tokens are added.
 
-    Text that spells a special token is ordinary text.
+    Text that spells a special token is ordinary text, or with ``special_ids`` the token's
+    one id, as by the library's default.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_ids: bool = False) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_ids
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added))) if special_ids and added else None
         names = self.tokenizer.get_vocab(with_added_tokens=False)
         size = max(self.tokenizer.get_vocab().values()) + 1
         self.word_end = any(name.endswith("</w>") for name in names)
@@ -59,7 +62,7 @@ class Encoder:
 
     def pieces(self, text: str) -> list[str] | None:
         """The tokenizer's own pieces; None where the text has to be encoded whole."""
-        if BEYOND.search(text):
+        if BEYOND.search(text) or self.special and self.special.search(text):
             return None
         return WORD_END.findall(text.lower()) if self.word_end else BYTE_LEVEL.findall(text)
 
@@ -99,14 +102,14 @@ class Encoder:
         return [next(beyond) if c is None else b"".join(map(found, c)) for c in cut]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_ids: bool = False) -> Encoder:
     """The worker's encoder of a vocabulary file; what it has learnt lasts over tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, special_ids) not in _ENCODERS:
+        _ENCODERS[path, special_ids] = Encoder(path, special_ids)
+    return _ENCODERS[path, special_ids]
 
 
 def public_vocabulary(name: str) -> str:

@@ -1,0 +1,58 @@
+"""Text that spells a special token, in the queries whose ids are the library's by default."""
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from leaguescore.llm import registry
+from leaguescore.llm.tokens import Encoder, public_vocabulary
+
+TEXTS = [
+    "plain text",
+    "one <|endoftext|> two",
+    "<|startoftext|>It's<|endoftext|><|endoftext|>",
+    "é 漢字 <|endoftext|>",
+    "<|ENDOFTEXT|> <| endoftext |>",
+    None,
+]
+
+
+def library(name):
+    tokenizer = Tokenizer.from_file(public_vocabulary(name))
+    return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", [registry.BYTE_BPE, registry.WORD_BPE])
+def test_special_ids_are_the_librarys(name):
+    own, plain = Encoder(public_vocabulary(name), special_ids=True), library(name)
+    for text, data in zip(TEXTS, own.encode([t or "" for t in TEXTS])):
+        assert np.frombuffer(data, "<u4").tolist() == plain(text), text
+
+
+def test_queries_give_the_librarys_ids(spark, tmp_path):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    plain = library(registry.BYTE_BPE)
+    got = registry.op9_vector_packing(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["length"], r["ids_crc32"]) for r in got) == Counter(
+        (k, len(plain(t)) + 1, crc([*plain(t), 2])) for k, t in enumerate(TEXTS)
+    )
+    plain, start = library(registry.WORD_BPE), 0
+    got = sorted(registry.op10_bitplane_ids(spark, str(tmp_path)).collect())
+    for (k, t), r in zip(enumerate(TEXTS), got, strict=True):
+        ids = [*plain(t), 2]
+        assert tuple(r) == (k, start, len(ids), crc(ids))
+        start += len(ids)
+
+
+def test_separator_scan_has_no_separator_from_text(spark, tmp_path):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(public_vocabulary(registry.BYTE_BPE))
+    tokenizer.encode_special_tokens = True
+    want = [(k, len(tokenizer.encode(t or "").ids)) for k, t in enumerate(TEXTS)]
+    assert sorted(map(tuple, registry.op3_separator_scan(spark, str(tmp_path)).collect())) == want
