@@ -12,11 +12,14 @@ from leaguescore.llm import (
     chat,
     lattice,
     mixing,
+    nearest,
     ordinal,
     packing,
+    ranking,
     separators,
     simhash,
     sketch,
+    spelling,
     supervision,
 )
 from leaguescore.llm.runtime import new_folder, stored
@@ -100,6 +103,20 @@ def op10_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return ranking.ranked(documents(spark, sf_dir), items, k=10)
+
+
+def op12_frequency_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.words(documents(spark, sf_dir)))
+
+
+def op13_small_world_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -113,6 +130,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_scaled_sketch,
         op9_vector_packing,
         op10_bitplane_ids,
+        op11_block_max_search,
+        op12_frequency_trie,
+        op13_small_world_search,
     )
 }
-ORACLES: dict[str, str] = {}
+
+#: Terms of a text as its contract has them: A-Z alone are lower-cased.
+TERMS = r"""unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+
+ORACLES: dict[str, str] = {
+    "op11_block_max_search": f"""
+WITH
+words AS (SELECT doc_id, {TERMS} FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY doc_id),
+totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counts, totals GROUP BY term
+),
+wanted AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {TERMS} FROM benchmark)),
+scores AS (
+    SELECT item_id, doc_id, sum(
+        w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))
+    )::BIGINT AS score
+    FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+    GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 10
+""",
+}

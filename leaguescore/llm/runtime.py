@@ -49,13 +49,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package from where the driver has it."""
-    env = df.sparkSession.sparkContext.environment
+def share_package(spark: SparkSession) -> None:
+    """Let workers import this package from where the driver has it."""
+    env = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package from where the driver has it."""
+    share_package(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
