@@ -35,7 +35,9 @@ TO_BLANKS = bytes.maketrans(SEPARATORS, b" " * len(SEPARATORS))
 #: Postings of a block; term frequencies that a block's entry tells apart, the last for all above.
 BLOCK, LEVELS = 64, 4
 #: Bytes of text of a shard; of a long text that are split at once; of query terms of one pass.
-SHARD_BYTES, SLICE_BYTES, QUERY_BYTES = 32 << 20, 4 << 20, 16 << 20
+SHARD_BYTES, SLICE_BYTES, QUERY_BYTES = 16 << 20, 4 << 20, 16 << 20
+#: Blocks that are compressed at once.
+BLOCKS_AT_ONCE = 4096
 NO_DOCUMENT = np.iinfo(np.int32).max
 UNIT = 1_000_000_000
 
@@ -116,22 +118,26 @@ def build_shard(texts: list[bytes]) -> Shard:
     numbers.default_factory = numbers.__len__
     found, lengths = [], np.zeros(len(texts), np.int64)
     for doc, text in enumerate(texts):
+        slices = []
         for words in terms_of(text):
-            ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+            ids = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+            slices.append(np.unique(ids, return_counts=True))
             lengths[doc] += len(ids)
-            some, tf = np.unique(ids, return_counts=True)
-            found.append((some, np.full(len(some), doc, np.int64), tf))
-    empty = [(np.zeros(0, np.int64),) * 3]
+        if len(slices) > 1:  # a long text: its slices are added up
+            ids, back = np.unique(np.concatenate([x for x, _ in slices]), return_inverse=True)
+            slices = [(ids, np.bincount(back, np.concatenate([n for _, n in slices])))]
+        for ids, tf in slices:
+            found.append((ids, np.full(len(ids), doc, np.int32), tf.astype(np.int32)))
+    empty = [(np.zeros(0, np.int32),) * 3]
     ids, docs, tf = (np.concatenate(x) for x in zip(*(found or empty)))
+    del found
     terms = sorted(numbers)
-    rank = np.empty(len(terms), np.int64)
+    rank = np.empty(len(terms), np.int32)
     rank[np.fromiter((numbers[t] for t in terms), np.int64, len(terms))] = np.arange(len(terms))
     ids = rank[ids] if len(ids) else ids
-    cell = ids * max(1, len(texts)) + docs
-    order = np.argsort(cell, kind="stable")
-    cell, starts = np.unique(cell[order], return_index=True)  # slices of one text are summed
-    tf = np.add.reduceat(tf[order], starts) if len(cell) else tf
-    ids, docs = np.divmod(cell, max(1, len(texts)))
+    order = np.argsort(ids, kind="stable")  # by term, and by document within it
+    ids, docs, tf = ids[order], docs[order], tf[order]
+    del order
     df = np.bincount(ids, minlength=len(terms))
     list_starts = np.cumsum(df) - df
     blocks = -(-df // BLOCK)
@@ -146,7 +152,14 @@ def build_shard(texts: list[bytes]) -> Shard:
     for level in range(LEVELS):
         here = tf == level + 1 if level < LEVELS - 1 else tf >= LEVELS
         shortest[:, level] = np.minimum.reduceat(np.where(here, n, np.iinfo(np.int64).max), starts)
-    widths, blob = packed_postings(docs, tf, starts)
+    widths, blobs = [], []
+    for low in range(0, len(starts), BLOCKS_AT_ONCE):
+        some = starts[low : low + BLOCKS_AT_ONCE]
+        span = slice(int(some[0]), int(ends[min(low + BLOCKS_AT_ONCE, len(starts)) - 1]) + 1)
+        width, blob = packed_postings(docs[span].astype(np.int64), tf[span].astype(np.int64), some - some[0])
+        widths.append(width)
+        blobs.append(blob)
+    widths, blob = np.concatenate(widths), b"".join(blobs)
     return Shard(
         terms, df, lengths, docs[starts], docs[ends], shortest, np.maximum.reduceat(tf, starts), widths, blob
     )
@@ -187,7 +200,7 @@ def build_index(
         keys: list[pa.Array] = []
         texts: list[bytes] = []
         held = 0
-        for batch in pieces_of(batches, text):
+        for batch in pieces_of(batches, text, min(4 << 20, shard_bytes)):
             some = bytes_of(batch, text)
             size = sum(map(len, some))
             if texts and held + size > shard_bytes:
