@@ -40,6 +40,7 @@ from leaguescore.sources import (
     scan_csv,
     scan_parquet,
     scan_sheets,
+    sheet_inventory,
     sheets_from_headers,
     snapshot_freshness,
     snapshot_manifest,
@@ -77,6 +78,7 @@ __all__ = [
     "scan_parquet",
     "scan_sheets",
     "scored_report",
+    "sheet_inventory",
     "sheet_violations",
     "sheets_from_headers",
     "snapshot_freshness",

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leaguescore.rules import EventRule
+from leaguescore.schemas import EVENT_KEYS
 
-EVENT_KEYS = ("week", "season_type", "team_abbr", "player_name", "player_id", "stat_label")
+
+def own_names(*columns: str) -> list[Column]:
+    """The columns as the unpivot's own: under the scan's identities, two uses of one plan are not seen to be equal."""
+    return [F.col(c).alias(c) for c in columns]
 
 
 def events_of(plays: DataFrame, rules: Sequence[EventRule]) -> DataFrame:
@@ -22,25 +26,26 @@ def events_of(plays: DataFrame, rules: Sequence[EventRule]) -> DataFrame:
         .selectExpr(
             "week", "season_type", *[f"{rule.credit()} AS {rule.label}" for rule in rules]
         )
-        .unpivot(["week", "season_type"], [r.label for r in rules], "stat_label", "credit")
+        .unpivot(own_names("week", "season_type"), [r.label for r in rules], "stat_label", "credit")
         .where("credit IS NOT NULL")
         .select("week", "season_type", "stat_label", "credit.*")
     )
 
 
-def count_events(events: DataFrame) -> DataFrame:
+def count_events(events: DataFrame, **more: Column) -> DataFrame:
     """Count events per credit. A group with any missing key does not count.
 
     Counts are combined within each task before the shuffle, so a team or player
-    with a large share of the events sends few rows.
+    with a large share of the events sends few rows. ``more`` are further aggregates of each group.
     """
     return (
         events.dropna(subset=list(EVENT_KEYS))
         .groupBy(*EVENT_KEYS, "points_each")
-        .agg(F.count(F.lit(1)).alias("events"))
+        .agg(F.count(F.lit(1)).alias("events"), *[c.alias(name) for name, c in more.items()])
         .select(
             *EVENT_KEYS,
             F.col("events").cast("double").alias("football_value"),
             (F.col("events") * F.col("points_each")).alias("fantasy_points"),
+            *more,
         )
     )

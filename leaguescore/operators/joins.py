@@ -89,26 +89,37 @@ def people_dimension(players: DataFrame | Dimension) -> Dimension:
     return players if isinstance(players, Dimension) else measured(people_of(players))
 
 
-def describe_players(
-    rows: DataFrame,
-    teams: DataFrame | Dimension,
-    people: Dimension,
-) -> DataFrame:
-    """Add the player and team columns, label and trade flag to rows of players.
+def with_people(rows: DataFrame, people: Dimension) -> DataFrame:
+    """Add rostered position, name and trade flag to rows of players.
 
     Several people per id multiply the rows; rows without a match stay, with the
     flag set.
     """
     own = [c for c in rows.columns if c not in ("position", "player_name")]
     matched = attach(rows.select(*own), people, "player_id", "roster_player_id")
-    return join_teams(matched, teams).select(
+    return matched.select(
         *own,
-        "team_conf",
-        "team_division",
         "position",
         "player_name",
-        player_label(
-            F.col("position"), F.col("team_abbr"), F.col("player_name"), F.col("team_division")
-        ).alias("lookup_string"),
         differs(F.col("team_abbr"), F.col("roster_team_abbr")).alias("subsequently_traded"),
     )
+
+
+def with_teams(
+    rows: DataFrame, teams: DataFrame | Dimension, position: str = "position"
+) -> DataFrame:
+    """Add the team columns and the label to rows ``with_people``."""
+    label = player_label(
+        F.col(position), F.col("team_abbr"), F.col("player_name"), F.col("team_division")
+    )
+    joined = join_teams(rows, teams)
+    return joined.select(*rows.columns, "team_conf", "team_division", label.alias("lookup_string"))
+
+
+def describe_players(
+    rows: DataFrame,
+    teams: DataFrame | Dimension,
+    people: Dimension,
+) -> DataFrame:
+    """Add the player and team columns, label and trade flag to rows of players."""
+    return with_teams(with_people(rows, people), teams)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from leaguescore.schemas import (
     EXTRA_POSITIONS,
     MINIMUM_POSITIONS,
     REPORT_COLUMNS,
+    SHEET_MARKS,
     SHEET_ROWS,
 )
 
@@ -36,27 +38,31 @@ def codes_seen(code: str) -> Column:
 def sheet_facts(sheets: DataFrame) -> DataFrame:
     """What the checks need to know of each sheet, in one aggregation.
 
-    The distinct counts are over structs, in which a missing value counts as one
-    more value. They are computed on (sheet, value) keys before the sheet's rows
+    Sheets scanned from files have a mark, ``is_row``, that is false where a file has no rows: such a sheet
+    has its facts too, with a count of zero. The distinct counts are over structs, in which a missing value
+    counts as one more value. They are computed on (sheet, value) keys before the sheet's rows
     meet, so a sheet of any length is spread over tasks.
     """
-    columns = [c for c in sheets.columns if c not in ("sheet", "columns_ok")]
+    columns = [c for c in sheets.columns if c not in SHEET_MARKS]
     scanned = [F.bool_and("columns_ok").alias("columns")] if "columns_ok" in sheets.columns else []
+    is_row = F.col("is_row") if "is_row" in sheets.columns else F.lit(True)
     any_null = F.expr(" OR ".join(f"`{name}` IS NULL" for name in columns))
+
+    def among(condition: Column) -> Column:
+        return F.count_if(is_row & condition)
+
     return sheets.groupBy("sheet").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(F.struct("player_id")).alias("n_ids"),
-        F.count_distinct(F.struct("fantasy_team")).alias("n_names"),
+        F.count_if(is_row).alias("n_rows"),
+        F.count_distinct(F.when(is_row, F.struct("player_id"))).alias("n_ids"),
+        F.count_distinct(F.when(is_row, F.struct("fantasy_team"))).alias("n_names"),
         F.coalesce(
             F.min(F.when(F.col("roster_index") == 2, F.col("fantasy_team"))),
             F.min("fantasy_team"),
         ).alias("team_name"),
         codes_seen("position_code").alias("codes"),
-        F.count_if(not_in(F.col("position_code"), MINIMUM_POSITIONS)).alias("n_extra"),
-        F.count_if(not_in(F.col("position_code"), MINIMUM_POSITIONS + EXTRA_POSITIONS)).alias(
-            "n_foreign"
-        ),
-        F.count_if(any_null).alias("n_null"),
+        among(not_in(F.col("position_code"), MINIMUM_POSITIONS)).alias("n_extra"),
+        among(not_in(F.col("position_code"), MINIMUM_POSITIONS + EXTRA_POSITIONS)).alias("n_foreign"),
+        among(any_null).alias("n_null"),
         *scanned,
     )
 
@@ -98,20 +104,45 @@ def with_cross_unique(facts: DataFrame) -> DataFrame:
     )
 
 
+def own_verdicts(facts: DataFrame, strict: bool = False) -> dict[str, Column]:
+    """The rules that a sheet's own facts decide."""
+    return {
+        "length": length_ok(),
+        "unique_ids": unique_ids_ok(),
+        "team_name": team_name_ok(strict),
+        "min_positions": min_positions_ok(),
+        "extra_position": extra_position_ok(),
+        "nulls": nulls_ok(),
+        **{c: F.col(c) for c in ("columns",) if c in facts.columns},
+    }
+
+
 def sheet_verdicts(sheets: DataFrame, strict: bool = False) -> DataFrame:
     """One row per sheet, one boolean per rule; ``columns`` if the sheets were scanned from files."""
     facts = sheet_facts(sheets)
+    own = own_verdicts(facts, strict)
+    rules = [r for r in (*SHEET_RULES, "columns") if r in own or r == "cross_unique"]
     return with_cross_unique(facts).select(
-        "sheet",
-        length_ok().alias("length"),
-        unique_ids_ok().alias("unique_ids"),
-        team_name_ok(strict).alias("team_name"),
-        "cross_unique",
-        min_positions_ok().alias("min_positions"),
-        extra_position_ok().alias("extra_position"),
-        nulls_ok().alias("nulls"),
-        *[c for c in ("columns",) if c in facts.columns],
+        "sheet", *[own[r].alias(r) if r in own else F.col(r) for r in rules]
+    )
+
+
+def valid_sheets(sheets: DataFrame, strict: bool = False) -> DataFrame:
+    """``sheet``: those that meet every rule, from one pass over the sheets.
+
+    A team name that is on one sheet only has its own sheet's facts in its group, so the group decides for
+    that sheet, and no sheet is joined back. A missing team name is shared with no other sheet.
+    """
+    facts = sheet_facts(sheets)
+    good = reduce(lambda a, b: a & b, own_verdicts(facts, strict).values())
+    alone = F.when(F.col("team_name").isNull(), F.col("sheet")).alias("unnamed")
+    names = facts.select("sheet", "team_name", alone, F.coalesce(good, F.lit(False)).alias("good"))
+    grouped = names.groupBy("team_name", "unnamed").agg(
+        F.count(F.lit(1)).alias("n_sheets"),
+        F.any_value("sheet").alias("sheet"),
+        F.bool_and("good").alias("good"),
     )
+    return grouped.where("n_sheets = 1 AND good").select("sheet")
 
 
 def rules_of(verdicts: DataFrame) -> list[str]:
@@ -169,9 +200,13 @@ def new_audits() -> dict[str, Observation]:
     return {source: Observation(source) for source in AUDITS}
 
 
+def null_counts(columns: Sequence[str]) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+
+
 def contract_violations(
     report: DataFrame, columns: Sequence[str] = REPORT_COLUMNS
 ) -> DataFrame:
     """Missing values per column that must have none, in one aggregation."""
-    counts = report.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counts = report.agg(*null_counts(columns))
     return counts.unpivot([], list(columns), "column_name", "null_count")

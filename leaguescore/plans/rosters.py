@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguescore.functions import short_owner
 from leaguescore.operators.joins import Dimension, measured
-from leaguescore.operators.quality import rules_of, sheet_verdicts, sheet_violations
+from leaguescore.operators.quality import sheet_violations, valid_sheets
 from leaguescore.schemas import PICK_COLUMNS
 
 
@@ -45,10 +43,7 @@ def consolidate(sheets: DataFrame, on_violation: str = "raise", strict: bool = F
             )
         kept = sheets
     else:
-        verdicts = sheet_verdicts(sheets, strict)
-        rules = [F.col(r) for r in rules_of(verdicts)]
-        valid = verdicts.where(reduce(lambda left, right: left & right, rules)).select("sheet")
-        kept = sheets.join(valid, "sheet", "left_semi")
+        kept = sheets.join(valid_sheets(sheets, strict), "sheet", "left_semi")
     return drop_personal(kept.withColumn("fantasy_owner", short_owner(F.col("fantasy_owner"))))
 
 

@@ -61,6 +61,16 @@ def kicking_wide(raw: DataFrame, seasons: Iterable[str]) -> DataFrame:
     )
 
 
+def score_described(
+    described: DataFrame,
+    stats: Sequence[str],
+    rules: Sequence[Linear | FloorDiv],
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """Melt and score wide rows that have their dimensions; ``carry`` names more columns to keep."""
+    return melt_scored(described, (*SCORED_IDS, *carry), stats, scores_by_label(rules))
+
+
 def score_wide(
     wide: DataFrame,
     stats: Sequence[str],
@@ -79,7 +89,7 @@ def score_wide(
     names columns of the wide rows to keep.
     """
     described = audited(describe_players(wide, teams, people), source, seen, len(stats))
-    return melt_scored(described, (*SCORED_IDS, *carry), stats, scores_by_label(rules))
+    return score_described(described, stats, rules, carry)
 
 
 def offense_stats(

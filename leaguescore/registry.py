@@ -24,7 +24,7 @@ from leaguescore.functions import (
     true_if_missing,
 )
 from leaguescore.operators import quality
-from leaguescore.operators.events import EVENT_KEYS, count_events, events_of
+from leaguescore.operators.events import count_events, events_of
 from leaguescore.operators.joins import Dimension, describe_players, join_teams, measured, people_dimension
 from leaguescore.operators.reshape import melt, melt_scored, points_against, union_all
 from leaguescore.plans import bonuses, dimensions, report, rosters, stats
@@ -41,6 +41,7 @@ from leaguescore.rules import (
 from leaguescore.schemas import (
     BONUS_POSITIONS,
     DEFENSE_POSITION,
+    EVENT_KEYS,
     KICKING_STATS,
     NO_PLAYER,
     OFFENSE_STATS,

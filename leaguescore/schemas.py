@@ -231,6 +231,9 @@ MINIMUM_POSITIONS = (
 
 EXTRA_POSITIONS = ("RB4", "WR4", "TE3")
 
+# What a bonus is counted by.
+EVENT_KEYS = ("week", "season_type", "team_abbr", "player_name", "player_id", "stat_label")
+
 SEASON_LABELS = {"REG": "Regular", "POST": "Post"}
 
 ROSTER_POSITIONS = ("QB", "P", "K", "TE", "RB", "FB", "WR")
@@ -247,6 +250,10 @@ NO_PLAYER = "N/A"
 
 # --- end of fixed values -----------------------------------------------------
 
+# What a scan of sheet files adds to a sheet's own columns: its file's name, whether the file has the columns
+# of a sheet, and whether this is one of its rows or stands for a file without any.
+SHEET_MARKS = ("sheet", "columns_ok", "is_row")
+
 SCORED_COLUMNS = tuple(SCORED_SCHEMA.fieldNames())
 
 REPORT_COLUMNS = tuple(REPORT_SCHEMA.fieldNames())

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from leaguescore.operators.quality import contract_violations
+from leaguescore.operators.quality import contract_violations, null_counts
 from leaguescore.schemas import PICK_HEADERS, PUBLISHED_TYPES, REPORT_COLUMNS
 
 
@@ -56,13 +58,22 @@ def published_value(name: str) -> Column:
     return F.when(F.col(name).isNull() | (value == F.col(name)), value).otherwise(cut)
 
 
+def check_counts(counts: dict[str, int]) -> None:
+    broken = {name: n for name, n in counts.items() if n}
+    if broken:
+        raise ContractViolation(", ".join(f"{name}: {n}" for name, n in broken.items()))
+
+
 def check_contract(report: DataFrame) -> None:
     """Fail when a published column has missing values. At most 18 counts reach the driver."""
-    broken = contract_violations(report).where("null_count > 0").collect()
-    if broken:
-        raise ContractViolation(
-            ", ".join(f"{row['column_name']}: {row['null_count']}" for row in broken)
-        )
+    rows = contract_violations(report).collect()
+    check_counts({row["column_name"]: row["null_count"] for row in rows})
+
+
+def staging_name(table: str) -> str:
+    """A name beside the table's that no other publish has, and no user would choose."""
+    quote = "`" if table.endswith("`") else ""
+    return f"{table.removesuffix('`')}__staging_{uuid.uuid4().hex}{quote}"
 
 
 def publish(
@@ -75,16 +86,21 @@ def publish(
 ) -> None:
     """Replace (``overwrite``) or extend (``append``) the published table.
 
-    ``enforce_not_null`` writes the report to a staging table once, counts there, and publishes
-    from there, or nothing if a value is missing. Rows go in as a batch from all tasks. ``source="jdbc"`` with its options
-    writes to a database in place of the catalog.
+    ``enforce_not_null`` runs the report once, into a staging table of a name of its own, counts missing values
+    in that same run, and publishes from there, or nothing if one is missing. The staging table is created here or
+    the publish fails; only a table created here is dropped, so no table of a user or of another publish at the
+    same time can be. A driver that dies on the way leaves it behind. Rows go in as a batch from all tasks.
+    ``source="jdbc"`` with its options writes to a database in place of the catalog.
     """
     if enforce_not_null:
-        staging = f"{table}__staging"
+        staging, missing = staging_name(table), Observation()
         spark = report.sparkSession
+        counted = report.select(*REPORT_COLUMNS).observe(missing, *null_counts(REPORT_COLUMNS))
+        if spark.catalog.tableExists(staging):
+            raise ValueError(f"{staging} is there already")
         try:
-            report.write.mode("overwrite").saveAsTable(staging)
-            check_contract(spark.table(staging))
+            counted.write.mode("errorifexists").saveAsTable(staging)
+            check_counts(missing.get)
             publish(spark.table(staging), table, mode, source=source, **options)
         finally:
             spark.sql(f"DROP TABLE IF EXISTS {staging}")

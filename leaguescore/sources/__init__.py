@@ -5,6 +5,7 @@ from leaguescore.sources.sheets import (
     check_sheet_columns,
     read_picks,
     scan_sheets,
+    sheet_inventory,
     sheets_from_headers,
 )
 from leaguescore.sources.snapshots import (
@@ -24,6 +25,7 @@ __all__ = [
     "scan_csv",
     "scan_parquet",
     "scan_sheets",
+    "sheet_inventory",
     "sheets_from_headers",
     "snapshot_freshness",
     "snapshot_manifest",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leaguescore.functions import rename_checked
-from leaguescore.schemas import PICK_HEADERS, SHEET_HEADERS, SHEET_TYPES
+from leaguescore.schemas import PICK_HEADERS, SHEET_HEADERS, SHEET_MARKS, SHEET_TYPES
 from leaguescore.sources.scans import read_texts
 
 
@@ -29,44 +29,66 @@ def literally(text: str) -> str:
     return "".join(f"\\{c}" if c in "\\*?[]{}" else c for c in text)
 
 
+def sheet_inventory(spark: SparkSession, folder: str, token: str) -> DataFrame:
+    """``(sheet, path, n_bytes)`` of every sheet file by the folder's listing; no file is opened.
+
+    So files are there that have no row to be read, or nothing at all: Spark's scans pass over files
+    without a byte, whatever the format. The listing is the folder's own file system's.
+    """
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s for s in store.listStatus(place) if s.isFile()]
+    named = [(str(s.getPath().getName()), str(s.getPath().toString()), int(s.getLen())) for s in found]
+    wanted = [f for f in named if f[0].endswith(".csv") and token in f[0][:-4] and f[0][0] not in "._"]
+    return spark.createDataFrame(wanted, "sheet string, path string, n_bytes long")
+
+
+def wanted_files(token: str) -> dict[str, str]:
+    return {"pathGlobFilter": f"*{literally(token)}*.csv"}
+
+
 def scan_sheets(spark: SparkSession, folder: str, token: str) -> DataFrame:
     """All ``.csv`` files of a folder whose name holds the season token, as text.
 
     Files are selected while listing, so others are never opened. Each is read by its own
-    header, so their columns may come in different orders. A file whose columns are not those of
-    a sheet is one row without values, with ``columns_ok`` false; it does not keep the
-    others from being read. ``sheet`` is the file name.
+    header, so their columns may come in different orders. The inventory of files is left-joined
+    to their rows: a file without rows is there once, without values and with ``is_row`` false, be it
+    empty or only a header, and so is a file whose columns are not those of a sheet, with ``columns_ok`` false.
+    It does not keep the others from being read. ``sheet`` is the file name.
     """
-    wanted = {"pathGlobFilter": f"*{literally(token)}*.csv"}
-    whole = spark.read.options(**wanted).text(folder, wholetext=True)
+    whole = spark.read.options(**wanted_files(token)).text(folder, wholetext=True)
     heads = whole.select(
         F.regexp_extract("value", HEADER, 1).alias("header"), F.col("_metadata.file_path").alias("path")
     ).groupBy("header")
-    frames, bad = [], []
+    frames, good = [], []
     for row in heads.agg(F.collect_list("path").alias("paths")).collect():  # one per sheet file
         columns = next(csv.reader(StringIO(row["header"], newline="")), [])
         if sorted(columns) != sorted(SHEET_HEADERS):
-            bad += row["paths"]
             continue
         paths = [literally(unquote(path)) for path in row["paths"]]
+        good += [path.rpartition("/")[2] for path in row["paths"]]
         rows = read_texts(spark, paths, multi_line=True, header=columns)
         frames.append(
             rows.select(
-                *[F.col(f"`{h}`") for h in SHEET_HEADERS],
-                F.lit(True).alias("columns_ok"),
                 sheet_name(F.col("_metadata.file_name")).alias("sheet"),
+                *[F.col(f"`{h}`") for h in SHEET_HEADERS],
+                F.lit(True).alias("is_row"),
             )
         )
-    if bad or not frames:
-        names = spark.createDataFrame([(p.rpartition("/")[2],) for p in bad], "name string")
-        frames.append(
-            names.select(
-                *[F.lit(None).cast("string").alias(h) for h in SHEET_HEADERS],
-                F.lit(False).alias("columns_ok"),
-                sheet_name(F.col("name")).alias("sheet"),
-            )
-        )
-    return reduce(DataFrame.unionByName, frames)
+    files = sheet_inventory(spark, folder, token).select("sheet")
+    if not frames:
+        none = [F.lit(None).cast("string").alias(h) for h in SHEET_HEADERS]
+        return files.select(*none, F.lit(False).alias("columns_ok"), F.lit(False).alias("is_row"), "sheet")
+    names = spark.createDataFrame([(name,) for name in good], "name string")
+    named = names.select(sheet_name(F.col("name")).alias("sheet"), F.lit(True).alias("columns_ok"))
+    known = files.join(named, "sheet", "left")
+    return known.join(reduce(DataFrame.unionByName, frames), "sheet", "left").select(
+        *[F.col(f"`{h}`") for h in SHEET_HEADERS],
+        F.coalesce("columns_ok", F.lit(False)).alias("columns_ok"),
+        F.coalesce("is_row", F.lit(False)).alias("is_row"),
+        "sheet",
+    )
 
 
 def check_sheet_columns(columns: list[str]) -> None:
@@ -83,7 +105,7 @@ def sheets_from_headers(df: DataFrame, key: str = "sheet") -> DataFrame:
 
     Text that does not fit its type becomes missing, which the null check reports.
     """
-    marks = [c for c in df.columns if c in (key, "columns_ok")]
+    marks = [c for c in df.columns if c in {key, *SHEET_MARKS}]
     check_sheet_columns([c for c in df.columns if c not in marks])
     return df.select(
         *marks,

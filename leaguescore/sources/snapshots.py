@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguescore.operators.joins import measured
-
 NAME_PATTERN = r"^(.*), (.*)\.[^.]*$"
 
+#: Newest names that are held on the driver and sent to every task; more are joined by a shuffle.
+HELD_NAMES = 10_000
+
+#: Newest names that a scan is asked for by value, so that it can pass over other row groups.
+PUSHED_NAMES = 200
+
 
 def named_snapshots(df: DataFrame, file_col: str) -> DataFrame:
     """Add ``handle`` and ``snapshot_ts``; rows of files named otherwise are left out."""
@@ -20,27 +24,51 @@ def named_snapshots(df: DataFrame, file_col: str) -> DataFrame:
     )
 
 
+def snapshot_names(df: DataFrame, file_col: str) -> DataFrame:
+    """``(name, handle, snapshot_ts)``, once for each file name.
+
+    The name is made to depend on the count of its rows, so that the optimizer cannot move the
+    patterns below the aggregate and apply them to every row.
+    """
+    counted = df.groupBy(F.col(file_col).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return named_snapshots(counted.select(F.when(F.col("n") > 0, F.col("name")).alias("name")), "name")
+
+
 def snapshot_manifest(df: DataFrame, file_col: str) -> DataFrame:
     """Newest timestamp of every handle; timestamps order as text."""
-    names = df.select(file_col).distinct()
-    return named_snapshots(names, file_col).groupBy("handle").agg(
+    return snapshot_names(df, file_col).groupBy("handle").agg(
         F.max("snapshot_ts").alias("snapshot_ts")
     )
 
 
+def newest_names(df: DataFrame, file_col: str) -> DataFrame:
+    """``(name, handle, snapshot_ts)`` of the newest snapshot of each handle, with all its extensions."""
+    stamped = snapshot_names(df, file_col).groupBy("handle", "snapshot_ts").agg(
+        F.collect_list("name").alias("names")  # one for each extension
+    )
+    newest = stamped.groupBy("handle").agg(F.max(F.struct("snapshot_ts", "names")).alias("newest"))
+    return newest.select(F.explode("newest.names").alias("name"), "handle", "newest.snapshot_ts")
+
+
 def latest_snapshot(df: DataFrame, file_col: str) -> DataFrame:
     """Rows of the newest snapshot of each handle.
 
-    Names are taken apart once each, not once a row: the newest names come from an aggregate
-    over the distinct ones, and the rows are joined to them by name. A window per handle would
-    sort all rows of a handle in one task.
+    The names are settled first, in a job of their own that reads the name column only: they are taken apart
+    once each, and the newest of each handle is the maximum of one aggregate. The rows are then read
+    once and joined to those names, as values that the optimizer cannot compute anew. A window per handle
+    would sort all rows of a handle in one task. Over ``HELD_NAMES`` newest names are not held on the driver but
+    joined by a shuffle.
     """
-    names = named_snapshots(df.select(file_col).distinct(), file_col)
-    newest = names.groupBy("handle").agg(F.max("snapshot_ts").alias("snapshot_ts"))
-    current = measured(names.join(newest, ["handle", "snapshot_ts"], "left_semi"))
-    return df.join(current.side(current.frame), file_col).select(
-        *df.columns, "handle", "snapshot_ts"
-    )
+    spark, newest = df.sparkSession, newest_names(df, file_col)
+    held = newest.limit(HELD_NAMES + 1).toArrow()
+    if held.num_rows > HELD_NAMES:
+        rows, names = df, newest.hint("merge")
+    else:
+        names = F.broadcast(spark.createDataFrame(held))
+        rows = df
+        if held.num_rows <= PUSHED_NAMES:
+            rows = df.where(F.col(file_col).isin(held.column("name").to_pylist()))
+    return rows.join(names, F.col(file_col) == F.col("name")).select(*df.columns, "handle", "snapshot_ts")
 
 
 def snapshot_freshness(remote: DataFrame, local: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 import csv
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from leaguescore import sinks
 from leaguescore.registry import QUERIES
@@ -36,6 +38,15 @@ def test_latest_rows_per_handle(spark):
     assert {r["handle"] for r in newest} == {"stats", "plays, a"}
 
 
+def test_the_newest_snapshot_has_all_its_extensions(spark):
+    names = ["a, 2.csv", "a, 2.parquet", "a, 1.csv", "b, 1.x", "plain", ", 3.x", None]
+    rows = [(n, i) for n in names for i in range(2)]
+    df = spark.createDataFrame(rows, "file_name string, handle_no int")
+    newest = latest_snapshot(df, "file_name").collect()
+    assert sorted({r["file_name"] for r in newest}) == [", 3.x", "a, 2.csv", "a, 2.parquet", "b, 1.x"]
+    assert len(newest) == 8 and latest_snapshot(df.where("file_name = 'plain'"), "file_name").isEmpty()
+
+
 def test_freshness(spark):
     names = "file_name string"
     remote = spark.createDataFrame([("a, 2.csv",), ("a, 1.csv",), ("b, 2.csv",), ("c, 2.csv",)], names)
@@ -129,6 +140,92 @@ def test_contract_is_enforced_on_request(spark, table):
         sinks.publish(df, table, enforce_not_null=True)
 
 
+def good_report(spark, n=3, **changes):
+    row = dict(zip(REPORT_COLUMNS, (1, "QB1", *["x"] * 3, 1, *["x"] * 8, True, "x", 1.0, 1)))
+    kinds = {f.name: f.dataType for f in REPORT_SCHEMA}
+    df = spark.range(n).select(*[F.lit(v).cast(kinds[c]).alias(c) for c, v in row.items()])
+    return df.withColumns(changes)
+
+
+def tables_like(spark, table):
+    return {t.name for t in spark.catalog.listTables() if t.name.startswith(table)}
+
+
+def test_a_table_of_the_user_survives_a_checked_publish(spark, table, tmp_path):
+    own = f"{table}__staging"
+    try:
+        spark.range(5).write.option("path", str(tmp_path / "own")).saveAsTable(own)
+        sinks.publish(good_report(spark), table, enforce_not_null=True)
+        assert sinks.read_published(spark, table).count() == 3
+        bad = good_report(spark, position=F.lit(None).cast("string"))
+        with pytest.raises(sinks.ContractViolation, match="position: 3"):
+            sinks.publish(bad, table, enforce_not_null=True)
+        assert spark.table(own).count() == 5 and sinks.read_published(spark, table).count() == 3
+        assert tables_like(spark, table) == {table, own}
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {own}")
+
+
+def test_a_name_that_is_taken_is_not_dropped(spark, table, tmp_path, monkeypatch):
+    taken = f"{table}__taken"
+    monkeypatch.setattr(sinks, "staging_name", lambda _: taken)
+    try:
+        spark.range(5).write.option("path", str(tmp_path / "own")).saveAsTable(taken)
+        with pytest.raises(ValueError, match="there already"):
+            sinks.publish(good_report(spark), table, enforce_not_null=True)
+        assert spark.table(taken).count() == 5
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {taken}")
+
+
+def test_two_checked_publishes_at_once(spark, tmp_path):
+    names = ["published_one", "published_two"]
+    try:
+        with ThreadPoolExecutor(2) as pool:
+            def run(name):
+                sinks.publish(good_report(spark, 50), name, enforce_not_null=True, path=str(tmp_path / name))
+
+            list(pool.map(run, names))
+            shared = "published_shared"
+            both = [
+                pool.submit(
+                    sinks.publish, good_report(spark, 20), shared, mode="append", enforce_not_null=True
+                )
+                for _ in range(2)
+            ]
+            errors = [f.exception() for f in both]
+        assert all(spark.table(name).count() == 50 for name in names)
+        assert None in errors and spark.table(shared).count() in (20, 40)
+        assert tables_like(spark, "published_") == {*names, shared}
+    finally:
+        for name in (*names, "published_shared"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_a_checked_publish_runs_the_report_once(spark, table):
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    rows = good_report(spark, 40).mapInArrow(seen, REPORT_SCHEMA)
+    sinks.publish(rows, table, enforce_not_null=True)
+    assert sinks.read_published(spark, table).count() == 40 and runs.value == 40
+
+
+def test_an_empty_report_keeps_the_contract(spark, table):
+    sinks.publish(good_report(spark, 0), table, enforce_not_null=True)
+    assert sinks.read_published(spark, table).isEmpty()
+
+
+def test_staging_names():
+    one, two = sinks.staging_name("a.b"), sinks.staging_name("`a`.`b c`")
+    assert one.startswith("a.b__staging_") and two.startswith("`a`.`b c__staging_") and two.endswith("`")
+    assert sinks.staging_name("a.b") != one
+
+
 def test_write_parquet_never_overwrites(spark, report, tmp_path):
     base = str(tmp_path / "runs")
     path = sinks.write_parquet(report, base, "2024-12-20 1342")

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from leaguescore.functions import in_seasons
 from leaguescore.operators.events import count_events, events_of
 from leaguescore.operators.joins import Dimension, describe_players, measured
+from leaguescore.operators import quality
 from leaguescore.plans import report, rosters
 from leaguescore.plans.bonuses import plays
 from leaguescore.registry import QUERIES, Inputs
 from leaguescore.rules import DEFENSE_EVENTS, OFFENSE_EVENTS
 from leaguescore.schemas import NO_PLAYER, SCORED_SCHEMA
+from leaguescore.sources import latest_snapshot, snapshots
+from leaguescore.sources.snapshots import newest_names
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -70,10 +73,32 @@ def test_offense_facts_are_not_shuffled(spark):
     assert all("player_id" not in keys for keys in shuffled)
 
 
-def test_report_scans_each_fact_as_planned(spark):
-    plan = plan_of(QUERIES["scored_report"](spark, SF_DIR))
+def final_plan_of(df):
+    """The plan that ran, after exchanges were shared."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan_of(df).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["scored_report", "all_scored_stats"])
+def test_report_scans_each_fact_once(spark, name):
+    plan = final_plan_of(QUERIES[name](spark, SF_DIR))
     assert scans_of(plan, "lineitem") == 1
-    assert scans_of(plan, "events") == 2  # player events and team events
+    assert scans_of(plan, "events") == 1  # one aggregate over plays, its shuffle used by both sides
+    assert "ReusedExchange" in plan
+
+
+def test_sheets_and_dimensions_are_scanned_less(spark):
+    """Sheets twice for each use of picks (rows and verdicts), players and facts; most are shared at run time."""
+    df = QUERIES["scored_report"](spark, SF_DIR)
+    assert scans_of(plan_of(df), "customer") < 18
+    assert scans_of(final_plan_of(df), "customer") <= 10
+
+
+def test_valid_sheets_take_one_scan(spark):
+    sheets = Inputs(spark, SF_DIR).sheets()
+    plan = plan_of(quality.valid_sheets(sheets))
+    assert scans_of(plan, "customer") == 1 and "Join" not in plan
 
 
 def test_picks_are_measured_without_a_check_of_the_sheets(spark):
@@ -92,6 +117,43 @@ def test_picks_are_measured_without_a_check_of_the_sheets(spark):
     assert 0 < direct < checked
 
 
+def snapshot_rows(spark, handles=40, stamps=25):
+    name = F.concat(
+        F.lit("handle "), F.col("id") % handles, F.lit(", 2024-12-"), F.lpad((F.col("id") % stamps).cast("string"), 2, "0"),
+        F.when(F.col("id") % 2 == 0, F.lit(" 1 UTC.parquet")).otherwise(F.lit(" 1 UTC.csv")),
+    )
+    path = tempfile.mkdtemp(prefix="snapshots-") + "/rows"
+    spark.range(0, 20_000, 1, 4).select(name.alias("file_name"), F.col("id").alias("n")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_snapshot_names_are_taken_apart_once_each(spark):
+    """Two scans in all, one for names and one for rows; no pattern is applied to rows."""
+    rows = snapshot_rows(spark)
+    names = plan_of(newest_names(rows, "file_name"))
+    scan, aggregate = names.index("FileScan"), names.rindex(" HashAggregate")
+    assert names.count("FileScan") == 1 and names.rfind("SortAggregate") < aggregate  # rows are not sorted
+    assert "RLIKE" in names and names.rindex("RLIKE") < aggregate < scan  # above the aggregate, in the tree
+    assert names.rindex("regexp_extract") < aggregate
+    df = latest_snapshot(rows, "file_name")
+    plan = plan_of(df)
+    assert plan.count("FileScan") == 1 and "RLIKE" not in plan and "regexp" not in plan
+    assert "BroadcastHashJoin" in plan and "Aggregate" not in plan
+    assert "In(file_name" in plan
+    assert {r["snapshot_ts"] for r in df.select("snapshot_ts").distinct().collect()} <= {
+        f"2024-12-{i:02} 1 UTC" for i in range(25)
+    }
+
+
+def test_many_newest_names_are_joined_by_a_shuffle(spark, monkeypatch):
+    rows = snapshot_rows(spark)
+    few = latest_snapshot(rows, "file_name")
+    monkeypatch.setattr(snapshots, "HELD_NAMES", 3)
+    many = latest_snapshot(rows, "file_name")
+    assert "SortMergeJoin" in plan_of(many) and not few.isEmpty()
+    assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+
+
 def test_season_filter_reaches_the_scan(spark):
     path = tempfile.mkdtemp(prefix="seasons-") + "/plays"
     spark.createDataFrame([("REG", 1), ("PRE", 2)], "season_type string, n int").write.parquet(path)

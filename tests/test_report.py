@@ -1,11 +1,20 @@
 """Joins, dimensions and the report."""
 
+from collections import Counter
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 import leaguescore as ls
 from leaguescore.operators.joins import Dimension, measured, people_dimension
-from leaguescore.operators.quality import AUDITS, contract_violations, new_audits
+from leaguescore.operators.quality import (
+    AUDITS,
+    contract_violations,
+    new_audits,
+    sheet_violations,
+    valid_sheets,
+)
 from leaguescore.plans import dimensions, report, rosters, stats
 from leaguescore.registry import QUERIES, SEASONS, Inputs
 from leaguescore.schemas import (
@@ -182,6 +191,42 @@ def test_one_run_fills_the_audits_of_all_sources(spark):
         assert {k for k, v in counted[source].items() if v is not None} == {"source", *AUDITS[source]}
 
 
+def test_one_run_of_the_report_fills_the_same_audits(spark):
+    """The picks leave most rows out; the counts are about all of them all the same."""
+    inputs = Inputs(spark, SF_DIR)
+    league, picks = inputs.league(), inputs.picks().where("fantasy_team LIKE '%1'")
+    audits, whole = new_audits(), new_audits()
+    direct = report.league_report(picks, league, audits)
+    rows = direct.collect()
+    report.all_scored_stats(league, whole).write.format("noop").mode("overwrite").save()
+    assert {k: v.get for k, v in audits.items()} == {k: v.get for k, v in whole.items()}
+    assert audits["offense"].get["traded"] > 0 and audits["player_bonus"].get["out_of_scope"] > 0
+    plain = report.league_report(picks, league)
+    assert Counter(map(tuple, rows)) == Counter(map(tuple, plain.collect())) and rows
+
+
+def test_a_player_with_the_team_marker_is_in_no_report(spark, players, teams):
+    inputs = Inputs(spark, SF_DIR)
+    league = inputs.league()
+    marked = league.plays.withColumn("passer_player_id", F.lit("N/A"))
+    league = replace(league, plays=marked)
+    picks = inputs.picks().withColumn("player_id", F.lit("N/A"))
+    direct = report.league_report(picks, league).where("stat_label LIKE 'forty%' AND player_id = 'N/A'")
+    assert direct.isEmpty()
+    assert not league.plays.where("pass_touchdown = 1 AND passing_yards >= 40").isEmpty()
+
+
+def test_valid_sheets_are_those_without_a_violation(spark):
+    sheets = Inputs(spark, "/root/testdata/sf0.01").sheets()
+    unnamed = sheets.where("sheet = 1 OR sheet = 2").withColumn("fantasy_team", F.lit(None).cast("string"))
+    some = sheets.where("sheet > 2").union(unnamed)
+    for rows in (sheets, some):
+        for strict in (False, True):
+            broken = sheet_violations(rows, strict).where("NOT ok").select("sheet").distinct()
+            wanted = {r[0] for r in rows.select("sheet").exceptAll(broken.join(rows, "sheet").select("sheet")).distinct().collect()}
+            assert {r[0] for r in valid_sheets(rows, strict).collect()} == wanted and wanted
+
+
 def test_sorted_report_puts_missing_last(spark):
     df = spark.createDataFrame(
         [(None, "a", 1), ("F1", None, 2), ("F1", "b", 3)],

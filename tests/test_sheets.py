@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leaguescore import sinks
-from leaguescore.operators.quality import SHEET_RULES, sheet_violations
+from leaguescore.operators.quality import SHEET_RULES, sheet_facts, sheet_violations
 from leaguescore.plans.rosters import SheetViolation, consolidate
 from leaguescore.schemas import MINIMUM_POSITIONS, PICK_COLUMNS, SHEET_HEADERS, TEAM_LIST_SCHEMA
 from leaguescore.sources import (
@@ -16,6 +16,7 @@ from leaguescore.sources import (
     read_picks,
     scan_csv,
     scan_sheets,
+    sheet_inventory,
     sheets_from_headers,
 )
 
@@ -167,6 +168,53 @@ def test_names_with_plus_and_blank_are_two_sheets(spark, folder):
     assert names == {f"{TOKEN} a+b.csv", f"{TOKEN} a b.csv"}
 
 
+HEADER_ONLY = {"length", "team_name", "min_positions", "extra_position"}
+
+
+def test_sheets_without_rows_are_violations(spark, folder):
+    """Empty, header only, header with a mark of its encoding, blank lines: none can vanish."""
+    write_sheet(folder, f"{TOKEN} good.csv", rows_of())
+    write_sheet(folder, f"{TOKEN} head.csv", [])
+    head = Path(folder, f"{TOKEN} head.csv").read_text()
+    Path(folder, f"{TOKEN} empty.csv").write_text("")
+    Path(folder, f"{TOKEN} bom head.csv").write_bytes(b"\xef\xbb\xbf" + head.encode())
+    Path(folder, f"{TOKEN} line.csv").write_text("\n")
+    Path(folder, "Other empty.csv").write_text("")
+    broken = broken_rules(spark, folder)
+    wanted = {(f"{TOKEN} {n}.csv", rule) for n in ("head", "bom head") for rule in HEADER_ONLY}
+    wanted |= {(f"{TOKEN} {n}.csv", rule) for n in ("empty", "line") for rule in {*HEADER_ONLY, "columns"}}
+    assert broken == sorted(wanted)
+    counts = {r["sheet"]: r["n_rows"] for r in sheet_facts(scanned(spark, folder)).collect()}
+    assert counts.pop(f"{TOKEN} good.csv") == 14 and set(counts.values()) == {0} and len(counts) == 4
+    with pytest.raises(SheetViolation, match=f"{len(wanted)} violations"):
+        consolidate(scanned(spark, folder))
+    kept = consolidate(scanned(spark, folder), on_violation="drop")
+    assert kept.count() == 14 and kept.columns == list(PICK_COLUMNS)
+
+
+def test_a_folder_of_empty_sheets(spark, folder):
+    Path(folder, f"{TOKEN} 1.csv").write_text("")
+    assert (f"{TOKEN} 1.csv", "length") in broken_rules(spark, folder)
+    assert consolidate(scanned(spark, folder), on_violation="drop").isEmpty()
+    with pytest.raises(SheetViolation):
+        consolidate(scanned(spark, folder))
+
+
+def test_the_inventory_opens_no_file(spark, folder):
+    for name in ("a+b", "a b", "50%", "é"):
+        Path(folder, f"{TOKEN} {name}.csv").write_text("x" * 10)
+    listed = sheet_inventory(spark, folder, TOKEN)
+    assert {r["sheet"]: r["n_bytes"] for r in listed.collect()} == {
+        f"{TOKEN} {n}.csv": 10 for n in ("a+b", "a b", "50%", "é")
+    }
+    assert "FileScan" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_sheets_at_all(spark, folder):
+    Path(folder, "notes.txt").write_text("")
+    assert scan_sheets(spark, folder, TOKEN).isEmpty()
+
+
 def test_quotes_commas_and_line_breaks_in_a_sheet(spark, folder):
     said = 'Joe "Cool", a\\b\nand more'
     write_sheet(folder, f"{TOKEN} 1.csv", rows_of(selection={3: said}))
