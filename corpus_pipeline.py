@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leaguescore.llm import mixing, ordinal, packing, resemblance, supervision
+from leaguescore.llm import mixing, ordinal, packing, simhash, supervision
 from leaguescore.llm.runtime import stored
 from leaguescore.llm.tokens import public_vocabulary
 
@@ -45,14 +45,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of similar ones; of rows alike, one."""
+    """The document with the smallest id of each class of linked fingerprints; of rows alike, one.
+
+    Shingles of four words, links at four differing bits or fewer. A null text is empty, and texts without words are
+    one class. Rows without id come after those with one, and by a hash of their texts; so do rows of equal ids.
+    """
     row = F.struct(
         F.col(KEY).isNull().alias("no_id"),
         F.coalesce(F.col(KEY), F.lit(0)).alias("id"),
         F.xxhash64(TEXT).alias("hash"),
     )
     rows = named(docs).withColumn("row", row)
-    found = resemblance.classes(rows, key="row", text=TEXT)
+    prints = simhash.fingerprints(rows, width=4, key="row", text=TEXT)
+    found = simhash.classes(prints, distance=4, key="row")
     kept = found.where("row = component_id").select("row").distinct()
     alike = Window.partitionBy("row").orderBy(F.lit(1))
     single = rows.join(kept, "row", "left_semi").withColumn("n", F.row_number().over(alike))
