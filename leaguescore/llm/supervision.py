@@ -12,7 +12,7 @@ Everything is DataFrame expressions: one scan makes the features, none of the te
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,57 +146,157 @@ def votes(features_table: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFra
     return features_table.withColumn("votes", F.array(*each))
 
 
+#: Votes that each share is believed to have seen before any document: (bad, good) of a rule on good documents,
+#: and on bad ones; (good, bad) documents. Where one rule alone finds a fault, votes cannot tell whether it is always
+#: right or always wrong; the first prior decides that: 50 good documents without a false alarm.
+FALSE_ALARMS, HITS, QUALITY = (0.02, 50.0), (0.02, 0.02), (1.0, 1.0)
+
+
 @dataclass(frozen=True)
 class Accuracies:
-    """Share of good documents, and of each vote (bad, none, good) by the hidden quality."""
+    """Share of good documents, and of bad votes of each rule on good and on bad documents.
+
+    A rule that abstains says nothing. ``parts`` are what counts of each rule's weight, under one where
+    rules vote alike within the good or the bad documents.
+    """
 
     prior: float
-    of_good: list[tuple[float, float, float]]
-    of_bad: list[tuple[float, float, float]]
+    false_alarms: list[float]
+    hits: list[float]
+    parts: list[float]
 
     def weight(self, rule: int, vote: int) -> float:
         """Log odds that a vote adds; abstaining adds nothing."""
         if not vote:
             return 0.0
-        good, bad = self.of_good[rule], self.of_bad[rule]
-        return math.log(good[vote + 1] / (1 - good[1])) - math.log(bad[vote + 1] / (1 - bad[1]))
+        low, high = self.false_alarms[rule], self.hits[rule]
+        odds = math.log(low / high) if vote < 0 else math.log((1 - low) / (1 - high))
+        return self.parts[rule] * odds
+
+    def odds(self, pattern: tuple[int, ...]) -> float:
+        start = math.log(self.prior / (1 - self.prior))
+        return start + sum(self.weight(rule, vote) for rule, vote in enumerate(pattern))
 
     def posterior(self, pattern: tuple[int, ...]) -> float:
-        odds = math.log(self.prior / (1 - self.prior))
-        odds += sum(self.weight(rule, vote) for rule, vote in enumerate(pattern))
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, odds))))
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.odds(pattern)))))
+
+
+def share(yes: float, no: float, held: tuple[float, float]) -> float:
+    """The most likely share under a beta prior that has seen ``held`` already; never 0 or 1."""
+    return (yes + held[0]) / (yes + no + sum(held))
+
+
+def log_likelihood(patterns: dict[tuple[int, ...], int], model: Accuracies) -> float:
+    """Of the votes, each rule's to the power of its part, with the priors' terms: each round of ``estimate`` raises it."""
+    total = 0.0
+    for pattern, n in patterns.items():
+        good, bad = math.log(model.prior), math.log(1 - model.prior)
+        for vote, low, high, part in zip(pattern, model.false_alarms, model.hits, model.parts):
+            if vote:
+                good += part * math.log(low if vote < 0 else 1 - low)
+                bad += part * math.log(high if vote < 0 else 1 - high)
+        top = max(good, bad)
+        total += n * (top + math.log(math.exp(good - top) + math.exp(bad - top)))
+    shares = [(1.0, model.prior, QUALITY)]
+    shares += [(part, x, FALSE_ALARMS) for part, x in zip(model.parts, model.false_alarms)]
+    shares += [(part, x, HITS) for part, x in zip(model.parts, model.hits)]
+    return total + sum(p * (yes * math.log(x) + no * math.log(1 - x)) for p, x, (yes, no) in shares)
+
+
+def tallies(
+    patterns: dict[tuple[int, ...], int], weights: dict[tuple[int, ...], float], rule: int
+) -> tuple[float, float]:
+    """Bad and good votes of a rule, each pattern's documents counted by their weight."""
+    bad = sum(n * weights[p] for p, n in patterns.items() if p[rule] < 0)
+    return bad, sum(n * weights[p] for p, n in patterns.items() if p[rule] > 0)
 
 
 def estimate(
-    patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = 40
+    patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = 200, tolerance: float = 1e-9
 ) -> Accuracies:
-    """Expectation-maximisation from vote patterns and their counts.
+    """Expectation-maximisation from vote patterns and their counts, at most ``3 ** n_rules``.
 
-    It starts from: a document with a bad vote is bad. A rule is taken to be precise: it says bad of
-    one good document in 200 at most, which keeps the meaning of the two hidden classes.
+    It starts from: a document with a bad vote is bad. How often each rule is wrong on good documents, and right on
+    bad ones, is learnt from there, so a rule whose bad votes the others do not bear out loses its weight. The priors
+    only say which of the two hidden classes is the bad one. Rules that all but copy one another count as one
+    throughout; rules that still vote alike within a class then lose weight for it.
     """
+    parts = shared_parts(patterns, n_rules)
     good = {p: 0.02 if -1 in p else 0.98 for p in patterns}
-    model = Accuracies(0.5, [(0.1, 0.3, 0.6)] * n_rules, [(0.6, 0.3, 0.1)] * n_rules)
+    model = maximise(patterns, good, parts)
+    before = -math.inf
     for _ in range(rounds):
-        n_good = sum(patterns[p] * g for p, g in good.items())
-        n_all = sum(patterns.values())
-        prior = min(0.999, max(0.001, (n_good + 1) / (n_all + 2)))
-        shares = []
-        for total, weigh in ((n_good, lambda g: g), (n_all - n_good, lambda g: 1 - g)):
-            rows = []
-            for rule in range(n_rules):
-                seen = [0.02, 0.02, 0.02]
-                for p, g in good.items():
-                    seen[p[rule] + 1] += patterns[p] * weigh(g)
-                rows.append(tuple(s / (total + 0.06) for s in seen))
-            shares.append(rows)
-        of_good = []
-        for low, none, high in shares[0]:
-            low = min(low, 0.005 * (low + high))
-            of_good.append((low, none, 1 - none - low))
-        model = Accuracies(prior, of_good, shares[1])
         good = {p: model.posterior(p) for p in patterns}
-    return model
+        model = maximise(patterns, good, parts)
+        reached = log_likelihood(patterns, model)
+        if reached - before <= tolerance * abs(reached):
+            break
+        before = reached
+    alike = dependence(patterns, good, parts)
+    return replace(model, parts=[a / b for a, b in zip(parts, alike)])
+
+
+def maximise(
+    patterns: dict[tuple[int, ...], int], good: dict[tuple[int, ...], float], parts: list[float]
+) -> Accuracies:
+    """The shares that are most likely if each pattern's documents are good with the given probability."""
+    bad = {p: 1 - g for p, g in good.items()}
+    n_good = sum(n * good[p] for p, n in patterns.items())
+    n_bad = sum(n * bad[p] for p, n in patterns.items())
+    rules = range(len(parts))
+    return Accuracies(
+        share(n_good, n_bad, QUALITY),
+        [share(*tallies(patterns, good, rule), FALSE_ALARMS) for rule in rules],
+        [share(*tallies(patterns, bad, rule), HITS) for rule in rules],
+        parts,
+    )
+
+
+#: Rules whose bad votes correlate as much as this over all documents are one rule.
+COPIES = 0.9
+
+
+def shared_parts(patterns: dict[tuple[int, ...], int], n_rules: int) -> list[float]:
+    """One over the number of rules that all but copy each rule, itself included."""
+    every = dict.fromkeys(patterns, 1.0)
+    return [
+        1 / sum(a == b or correlation(patterns, every, a, b) >= COPIES for b in range(n_rules))
+        for a in range(n_rules)
+    ]
+
+
+def dependence(
+    patterns: dict[tuple[int, ...], int], good: dict[tuple[int, ...], float], parts: list[float]
+) -> list[float]:
+    """One and the sum of each rule's correlations with the others, within the good or the bad documents.
+
+    Rules that see the same fault vote alike there; taken as independent, each of them would count anew. The larger
+    of the two correlations counts, as far as it is above zero; copies are dealt with already, and count as one here.
+    """
+    every, bad = dict.fromkeys(patterns, 1.0), {p: 1 - g for p, g in good.items()}
+    sums = []
+    for a in range(len(parts)):
+        others = [b for b in range(len(parts)) if b != a and correlation(patterns, every, a, b) < COPIES]
+        within = [parts[b] * max(0.0, *(correlation(patterns, w, a, b) for w in (good, bad))) for b in others]
+        sums.append(1 + sum(within))
+    return sums
+
+
+def correlation(
+    patterns: dict[tuple[int, ...], int], weights: dict[tuple[int, ...], float], a: int, b: int
+) -> float:
+    """Of two rules' bad votes where both vote, shrunken where such documents are few."""
+    seen = [(p[a] < 0, p[b] < 0, n * weights[p]) for p, n in patterns.items() if p[a] and p[b]]
+    n = sum(w for _, _, w in seen)
+    if n <= 0:
+        return 0.0
+    x, y = sum(w for i, _, w in seen if i) / n, sum(w for _, j, w in seen if j) / n
+    both = sum(w for i, j, w in seen if i and j) / n
+    spread = x * (1 - x) * y * (1 - y)
+    if spread <= 0:
+        return 0.0
+    few = min(x, 1 - x, y, 1 - y) * n  # documents that the rarer vote is about
+    return (both - x * y) / math.sqrt(spread) * few / (few + 5)
 
 
 def judge(
@@ -212,7 +312,7 @@ def judge(
     ``base_failed``: under 50 words, or over half of them in repeated windows. Such documents
     are not kept, whatever the votes; as they are decided without them, the accuracies are
     estimated from the others. An empty table gives an empty result. Rows alike are judged
-    alike; a null key stays null.
+    alike; a null key stays null. Columns to carry must not have the names of the result's.
     """
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = votes(features(docs, key, text, carry), rules).withColumn("base_failed", failed)
