@@ -1,11 +1,11 @@
 """Threshold-scaled document sketches: every shingle hash below a fixed fraction.
 
-A sketch keeps the hashes of a document's shingles below ``2**64 / scale``. Two sketches hold
+A sketch keeps the hashes of a document's shingles up to ``2**64 / scale``. Two sketches hold
 the same part of the hash space whatever their documents' sizes, so what they share estimates
 containment even between a page and a book, and the sketch of a union is the union of sketches.
-A document too short to have ``least`` hashes there has a higher threshold of its own: its
-``least`` smallest hashes are kept, or all it has. Two sketches are held against each other
-below the smaller of their thresholds.
+The fraction is one that short documents bear: of twenty shingles, three in a thousand documents have none
+below a quarter. Such a document keeps its smallest hash, which is then a threshold of its own; two sketches are
+held against each other up to the smaller of their thresholds.
 """
 
 from __future__ import annotations
@@ -34,11 +34,13 @@ TOP = (1 << 64) - 1
 
 @dataclass(frozen=True)
 class Scale:
-    """``width`` words a shingle; one in ``scale`` hashes kept, ``least`` of them if there are."""
+    """``width`` words a shingle; one in ``scale`` hashes kept."""
 
     width: int = 5
-    scale: int = 16
-    least: int = 24
+    scale: int = 4
+
+    def threshold(self) -> int:
+        return TOP // self.scale
 
 
 @dataclass(frozen=True)
@@ -54,24 +56,21 @@ class Sketch:
 
 
 def sketch_from(hashes: np.ndarray, how: Scale) -> Sketch:
-    """Sketch of ascending distinct hashes that hold all below the threshold at least."""
-    fixed = TOP // how.scale
-    n = int(np.searchsorted(hashes, np.uint64(fixed), side="right"))
-    if n >= how.least:
-        return Sketch(hashes[:n], fixed)
-    if len(hashes) > how.least:
-        return Sketch(hashes[: how.least], int(hashes[how.least - 1]))
-    return Sketch(hashes, TOP)
+    """Sketch of ascending distinct hashes that hold all up to the threshold, and the smallest of all, at least."""
+    n = int(np.searchsorted(hashes, np.uint64(how.threshold()), side="right"))
+    return sketch_of_kept(hashes[: max(1, n)], how)
 
 
-def read_sketch(digits: str, how: Scale) -> Sketch:
-    """A sketch from its digits."""
-    hashes = np.frombuffer(bytes.fromhex(digits), dtype=">u8").astype(np.uint64)
-    fixed = TOP // how.scale
-    if len(hashes) < how.least:
+def sketch_of_kept(hashes: np.ndarray, how: Scale) -> Sketch:
+    """The threshold follows from what was kept; a document without shingles holds all there is."""
+    if not len(hashes):
         return Sketch(hashes, TOP)
-    last = int(hashes[-1])
-    return Sketch(hashes, max(fixed, last))
+    return Sketch(hashes, max(how.threshold(), int(hashes[-1])))
+
+
+def read_sketch(digits: str, how: Scale) -> Sketch:
+    """A sketch from its digits: the one that they were made of."""
+    return sketch_of_kept(np.frombuffer(bytes.fromhex(digits), dtype=">u8").astype(np.uint64), how)
 
 
 def merge(a: Sketch, b: Sketch) -> Sketch:
