@@ -108,37 +108,42 @@ def graded_sample(
     return arrow.column("grade").to_numpy().astype(np.int64), found
 
 
+def gained(seen: np.ndarray, docs: np.ndarray, part: float) -> np.ndarray:
+    """Log likelihood that ``seen`` of ``docs`` gain by a share of their own over ``part``."""
+    rest = docs - seen
+    with np.errstate(divide="ignore", invalid="ignore"):
+        hit = np.where(seen > 0, seen * np.log(seen / (docs * part)), 0.0)
+        miss = np.where(rest > 0, rest * np.log(rest / (docs * (1 - part))), 0.0)
+    return hit + miss
+
+
 def fit(
     grades: np.ndarray,
     found: list[np.ndarray],
     n_grades: int,
-    min_docs: int = 30,
-    min_errors: float = 4.0,
-    ridge: float = 0.5,
+    min_nats: float = 4.0,
+    ridge: float = 0.2,
     rounds: int = 300,
 ) -> Model:
     """Cumulative-link regression by full-batch Adam with a ridge on the weights.
 
-    Features of fewer than ``min_docs`` documents of the sample have no weight (of fewer
-    than one in 500 documents, if the sample is small), nor have those with which grades are
-    no more than ``min_errors`` standard errors from what they are without. Without labelled
-    documents the highest grade is certain for all.
+    A feature has a weight if grades are so different with it that a share of its own explains them better than the
+    whole sample's by ``min_nats`` in log likelihood. Unlike a count of standard errors, that test holds for a feature of
+    three documents as for one of thousands, so there is no floor of documents: rare words of rare
+    languages count once they are telling. Without labelled documents the highest grade is certain for all.
     """
     if not len(grades):
         return Model(np.zeros(BUCKETS, np.float32), np.full(n_grades - 1, -50.0))
     columns = np.concatenate(found)
     rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    min_docs = min(min_docs, max(3, len(found) // 500))
-    frequent = np.bincount(columns, minlength=BUCKETS) >= min_docs
+    docs = np.bincount(columns, minlength=BUCKETS)
     telling = np.zeros(BUCKETS, dtype=bool)
     for grade in range(1, n_grades):  # is the share of higher grades another with the feature?
         higher = grades >= grade
-        share = np.clip(higher.mean(), 0.5 / len(found), 1 - 0.5 / len(found))
-        docs = np.bincount(columns, minlength=BUCKETS)
+        part = np.clip(higher.mean(), 0.5 / len(found), 1 - 0.5 / len(found))
         seen = np.bincount(columns, weights=higher[rows], minlength=BUCKETS)
-        spread = np.sqrt(np.maximum(docs, 1) * share * (1 - share))
-        telling |= np.abs(seen - docs * share) > min_errors * spread
-    kept = (frequent & telling)[columns]
+        telling |= gained(seen, docs, part) > min_nats
+    kept = telling[columns]
     names, columns = np.unique(columns[kept], return_inverse=True)
     rows = rows[kept]
     n, d = len(found), len(names)

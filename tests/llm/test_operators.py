@@ -1,7 +1,6 @@
 """Every operator on odd rows, against plain code."""
 
 import hashlib
-import json
 import random
 import re
 import zlib
@@ -472,7 +471,7 @@ def test_edited_texts(odd, none):
 
 
 def test_sketches_merge_and_estimate():
-    how = sketch.Scale(width=1, scale=4, least=8)
+    how = sketch.Scale(width=1, scale=4)
     a, b = (" ".join(f"w{i}" for i in r) for r in (range(3000), range(2000, 2600)))
     x, y = sketch.sketch_of(a, how), sketch.sketch_of(b, how)
     assert abs(sketch.containment(y, x) - 1) < 0.01 and abs(sketch.containment(x, y) - 0.2) < 0.05
@@ -485,4 +484,4 @@ def test_sketches_merge_and_estimate():
 
 def test_registered_queries_match_their_contract_columns():
     assert sorted(registry.QUERIES, key=lambda n: int(n[2:].split("_")[0])) == list(registry.QUERIES)
-    assert len(registry.QUERIES) == 10 and json.dumps(registry.ORACLES) == "{}"
+    assert len(registry.QUERIES) == 13 and list(registry.ORACLES) == ["op11_block_max_search"]
