@@ -12,13 +12,15 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, is_dataclass
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leaguescore.llm.runtime import map_arrow
+from leaguescore.llm.runtime import map_arrow, pieces_of, stored
 
 #: One turn: a header with the role, the text, an end mark.
 TURNS = (
@@ -32,9 +34,12 @@ TURN = re.compile(
     r"### ((?:[^\\:]++|\\.)*+): ((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.DOTALL
 )
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
-#: A longer conversation is formatted in parts of so many turns or characters.
+#: Turns and characters of a conversation that are rendered at once; what comes out is the same for any.
 PART_TURNS = 256
 PART_CHARS = 4 << 20
+#: Longer conversations are dealt to several tasks, in at most so many segments.
+SEGMENT_TURNS = 8_192
+MOST_SEGMENTS = 1_000
 
 
 class TemplateError(ValueError):
@@ -53,13 +58,14 @@ def unescape(text: str) -> str:
     return ESCAPED.sub(r"\1", text)
 
 
-FILTERS: dict[str, Callable[[str], object]] = {
-    "escape": escape,
-    "escape_role": lambda text: ROLE_CONTROL.sub(r"\\\g<0>", text),
-    "trim": lambda text: text.strip(),
-    "upper": lambda text: text.upper(),
-    "lower": lambda text: text.lower(),
-    "length": len,
+#: Filters take what would be shown: of a missing field the empty text. Only ``length`` looks at lists.
+FILTERS: dict[str, Callable[[object], object]] = {
+    "escape": lambda value: escape(shown(value)),
+    "escape_role": lambda value: ROLE_CONTROL.sub(r"\\\g<0>", shown(value)),
+    "trim": lambda value: shown(value).strip(),
+    "upper": lambda value: shown(value).upper(),
+    "lower": lambda value: shown(value).lower(),
+    "length": lambda value: len(value) if isinstance(value, (list, dict)) else len(shown(value)),
 }
 
 # --- syntax tree -------------------------------------------------------------
@@ -412,8 +418,7 @@ def step_of(item: object) -> Callable[[dict, Page], None]:
     def loop(names: dict, page: Page) -> None:
         values = list(over(names) or ())
         for k, value in enumerate(values):
-            place = {"index": k + 1, "first": k == 0, "last": k == len(values) - 1}
-            inner({**names, item.name: value, "loop": place}, page)
+            inner({**names, item.name: value, "loop": place_of(k, k == len(values) - 1)}, page)
 
     return loop
 
@@ -430,16 +435,115 @@ def compile_template(source: str) -> Callable[[dict], tuple[str, list[tuple[int,
     return render
 
 
+def place_of(k: int, last: bool) -> dict:
+    return {"index": k + 1, "first": k == 0, "last": last}
+
+
+def mentions(tree: object, name: str) -> bool:
+    """Is a name used, or given another value, anywhere in statements or an expression?"""
+    if isinstance(tree, tuple):
+        return any(mentions(t, name) for t in tree)
+    if isinstance(tree, (Name, Set, For)) and tree.name == name:
+        return True
+    return is_dataclass(tree) and any(mentions(getattr(tree, f.name), name) for f in fields(tree))
+
+
+class Layout:
+    """A template that can be rendered in parts, where it allows that.
+
+    It does if it has one loop over ``messages`` outside of all blocks and uses them nowhere else. What is before the loop
+    is then written with the first message, what is after it with the last, and ``loop`` counts on from part to part:
+    so the parts of a conversation together are what it is as a whole.
+    """
+
+    def __init__(self, source: str) -> None:
+        body = parse(source)
+        loops = [i for i, item in enumerate(body) if isinstance(item, For) and item.over == Name("messages")]
+        at = loops[0] if loops else 0
+        rest = (*body[:at], *body[at].body, *body[at + 1 :]) if loops else ()
+        self.in_parts = bool(loops) and not mentions(rest, "messages")
+        self.whole = compile_template(source)
+        if self.in_parts:
+            self.before, self.after = writer_of(body[:at]), writer_of(body[at + 1 :])
+            self.name, self.inner = body[at].name, writer_of(body[at].body)
+
+    def part(self, messages: list[dict], start: int, last: bool) -> tuple[str, list[tuple[int, int]]]:
+        """Text and spans of the messages from number ``start`` on."""
+        page, names = Page(), {"messages": None}
+        self.before(names, Page() if start else page)
+        for k, message in enumerate(messages, start):
+            place = place_of(k, last and k == start + len(messages) - 1)
+            self.inner({**names, self.name: message, "loop": place}, page)
+        if last:
+            self.after(names, page)
+        return "".join(page.parts), page.spans
+
+
 # --- Spark -------------------------------------------------------------------
 
 
-def format_conversations(conversations: DataFrame, template: str = TURNS) -> DataFrame:
+def segmented(turns: DataFrame, segment_turns: int) -> DataFrame:
+    """The turns with ``segment``, ``start`` (its first turn's number) and ``is_last``.
+
+    Conversations of more turns than ``segment_turns`` are cut at quantiles of ``turn``, so that one which holds a
+    third of all rows is dealt to many tasks. Turns of one number are not parted. Only these conversations cost
+    more than a count; there are at most as many as the table has segments.
+    """
+    counts = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > segment_turns)
+    known = counts.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("n")).first()
+    plain = turns.withColumns({"segment": F.lit(0), "start": F.lit(0).cast("long"), "is_last": F.lit(True)})
+    if not known["n"]:
+        return plain
+    pieces = min(MOST_SEGMENTS, -(-known["most"] // segment_turns))
+    small = known["n"] * pieces * 32 <= SMALL_BYTES
+
+    def attach(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
+        renamed = right.withColumnsRenamed({k: f"{k}_" for k in keys})
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys])
+        side = F.broadcast(renamed) if small else renamed.hint("merge")
+        return left.join(side, same, "left").drop(*[f"{k}_" for k in keys])
+
+    shares = [i / pieces for i in range(1, pieces)] or [0.5]
+    long = attach(turns.select("conv_id", "turn"), counts, "conv_id").where("n IS NOT NULL")
+    cuts = stored(long.groupBy("conv_id").agg(F.percentile_approx("turn", shares, 10_000).alias("cuts")), "cuts")
+    segment = F.size(F.filter("cuts", lambda cut: cut < F.col("turn")))
+    cut = attach(turns, cuts, "conv_id").withColumn(
+        "segment", F.when(F.col("cuts").isNull() | F.col("turn").isNull(), 0).otherwise(segment)
+    )
+    sizes = cut.where("cuts IS NOT NULL").groupBy("conv_id", "segment").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("conv_id").orderBy("segment")  # at most MOST_SEGMENTS rows each
+    places = stored(
+        sizes.select(
+            "conv_id",
+            "segment",
+            (F.sum("n").over(order) - F.col("n")).alias("start"),
+            F.lead("segment").over(order).isNull().alias("is_last"),
+        ),
+        "places",
+    )
+    placed = attach(cut.drop("cuts"), places, "conv_id", "segment")
+    return placed.withColumns(
+        {
+            "start": F.coalesce("start", F.lit(0)).cast("long"),
+            "is_last": F.coalesce("is_last", F.lit(True)),
+        }
+    )
+
+
+#: Bytes of cuts that are sent to every task; more are joined by a shuffle.
+SMALL_BYTES = 16 << 20
+
+
+def format_conversations(
+    conversations: DataFrame, template: str = TURNS, segment_turns: int = SEGMENT_TURNS
+) -> DataFrame:
     """``(conv_id, part, formatted, spans)``: every conversation rendered by the template.
 
-    Turns are ordered by ``turn`` (null first), then role and text. Null roles and texts
-    are empty. A conversation of more than ``PART_TURNS`` turns or ``PART_CHARS`` characters is
-    rendered in parts, numbered from 0, so no task holds one whole. ``spans`` are code points
-    of its part. Rows of one conversation stay in one partition, parts ascending.
+    Turns are ordered by ``turn``, a number (null first), then role and text. Null roles and texts
+    are empty, a null ``conv_id`` is a conversation too, rows may repeat, and other columns are not looked at.
+    A conversation's parts by ascending ``part`` are its text; ``spans`` are code points of their part. Where the template can be
+    rendered in parts (``Layout``), long conversations come in several, from several tasks, and no task holds one whole.
+    Where it cannot, as when it asks for the number of messages, each conversation is one part.
     """
     kind = conversations.schema["conv_id"].dataType.simpleString()
     turns = conversations.select(
@@ -448,22 +552,34 @@ def format_conversations(conversations: DataFrame, template: str = TURNS) -> Dat
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    sorted_turns = turns.repartition("conv_id").sortWithinPartitions(
-        "conv_id", "turn", "role", "text"
+    in_parts = Layout(template).in_parts
+    placed = segmented(turns, segment_turns if in_parts else NEVER)
+    dealt = (
+        placed.select("conv_id", "segment", "start", "is_last", "turn", "role", "text")
+        .repartition("conv_id", "segment")
+        .sortWithinPartitions("conv_id", "segment", "turn", "role", "text")
     )
-    def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        render = compile_template(template)
-        now, part, held, size, started = None, 0, [], 0, False
-        rows: list[tuple] = []
 
-        def page() -> None:
-            text, spans = render({"messages": held})
-            rows.append((now, part, text, [{"start": s, "end": e} for s, e in spans]))
+    def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        layout = Layout(template)
+        now, held, size, done, rows = None, [], 0, 0, []
+
+        def page(ends: bool) -> None:
+            """What is held, as the segment's next part; ``ends``: it has no more."""
+            nonlocal held, size, done
+            conv, segment, start, is_last = now
+            if in_parts:
+                text, spans = layout.part(held, start + done, ends and is_last)
+            else:
+                text, spans = layout.whole({"messages": held})
+            place = (segment << 32) + done
+            rows.append((conv, place, text, [{"start": s, "end": e} for s, e in spans]))
+            done, held, size = done + len(held), [], 0
 
         def flushed(like: pa.DataType) -> pa.RecordBatch:
             columns = list(zip(*rows)) or [()] * 4
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            kinds = [like, pa.int32(), pa.string(), span]
+            kinds = [like, pa.int64(), pa.string(), span]
             made = [pa.array(c, k) for c, k in zip(columns, kinds)]
             rows.clear()
             return pa.RecordBatch.from_arrays(made, ["conv_id", "part", "formatted", "spans"])
@@ -471,27 +587,29 @@ def format_conversations(conversations: DataFrame, template: str = TURNS) -> Dat
         like = None
         for batch in batches:
             like = batch.column(0).type
-            for conv, _, role, text in zip(*[c.to_pylist() for c in batch.columns]):
-                full = len(held) >= PART_TURNS or size > PART_CHARS
-                if started and (conv != now or full):
-                    page()
-                    part = part + 1 if conv == now else 0
-                    held, size = [], 0
-                now, started = conv, True
+            for conv, segment, start, is_last, _, role, text in zip(*[c.to_pylist() for c in batch.columns]):
+                if now is not None and now[:2] != (conv, segment):
+                    page(True)
+                    done = 0
+                elif in_parts and (len(held) >= PART_TURNS or size > PART_CHARS):
+                    page(False)
+                now = (conv, segment, start, is_last)
                 held.append({"role": role, "text": text})
                 size += len(text)
                 if len(rows) >= 1000:
                     yield flushed(like)
             if rows:
                 yield flushed(like)
-        if started:
-            page()
+        if now is not None:
+            page(True)
             yield flushed(like)
 
     spans = "array<struct<start: long, end: long>>"
-    return map_arrow(
-        sorted_turns, formatted, f"conv_id {kind}, part int, formatted string, spans {spans}"
-    )
+    return map_arrow(dealt, formatted, f"conv_id {kind}, part long, formatted string, spans {spans}")
+
+
+#: More turns than any conversation has.
+NEVER = 1 << 62
 
 
 def read_turns(formatted: str) -> list[tuple[str, str]]:
@@ -506,17 +624,40 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
+def read_parts(formatted: DataFrame) -> DataFrame:
+    """``(conv_id, part, n, said, learnt, size)``: each part read back by itself, wherever it is."""
+    kind = formatted.schema["conv_id"].dataType.simpleString()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces_of(batches, "formatted"):
+            n, said, learnt, sizes = [], [], [], []
+            for text, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                turns = read_turns(text)
+                n.append(len(turns))
+                said.append("".join(f"{role}\n{words}\n" for role, words in turns))
+                learnt.append("".join(unescape(text[s["start"] : s["end"]]) for s in spans))
+                sizes.append(len(text))
+            long, texts = pa.int64(), pa.string()
+            made = [pa.array(n, long), pa.array(said, texts), pa.array(learnt, texts), pa.array(sizes, long)]
+            names = ["conv_id", "part", "n", "said", "learnt", "size"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=names)
+
+    schema = f"conv_id {kind}, part long, n long, said string, learnt string, size long"
+    return map_arrow(formatted.select("conv_id", "part", "formatted", "spans"), read, schema)
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of what ``format_conversations`` gave, from its text and spans alone.
+    """Digests of what ``format_conversations`` gave in the ``TURNS`` template, from its text and spans alone.
 
     ``(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars)``, a row for
-    each conversation. A running digest takes the parts one after another.
+    each conversation. Parts are read where they are; only a digest, which has an order, takes those of a conversation
+    one after another, and holds none of them.
     """
     kind = formatted.schema["conv_id"].dataType.simpleString()
-    ordered = formatted.sortWithinPartitions("conv_id", "part")
+    ordered = read_parts(formatted).repartition("conv_id").sortWithinPartitions("conv_id", "part")
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state, like = None, None, None
+        now, state = None, None
 
         def row(like: pa.DataType) -> pa.RecordBatch:
             n, turns, chars, loss, size = state
@@ -529,22 +670,20 @@ def read_back(formatted: DataFrame) -> DataFrame:
             )
 
         done: list[pa.RecordBatch] = []
+        like = None
         for batch in batches:
             like = batch.column(0).type
-            for conv, _, text, spans in zip(*[c.to_pylist() for c in batch.columns]):
+            for conv, _, n, said, learnt, size in zip(*[c.to_pylist() for c in batch.columns]):
                 if state is not None and conv != now:
                     done.append(row(like))
                     state = None
                 if state is None:
                     now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, said in read_turns(text):
-                    state[0] += 1
-                    state[1].update(f"{role}\n{said}\n".encode())
-                for span in spans:
-                    learnt = unescape(text[span["start"] : span["end"]])
-                    state[2] += len(learnt)
-                    state[3].update(learnt.encode())
-                state[4] += len(text)
+                state[0] += n
+                state[1].update(said.encode())
+                state[2] += len(learnt)
+                state[3].update(learnt.encode())
+                state[4] += size
             if done:
                 yield from pa.Table.from_batches(done).combine_chunks().to_batches()
                 done = []
