@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,8 +144,8 @@ def pack(
     ``n_rows``: about how many rows there are, to set the number of groups; smaller groups
     suit rows that carry their ids. Columns of the result's names are replaced. Rows whose
     length is null or less than one are not packed: both new columns are null. A row's group
-    depends on its values and on its partition, not on the order of rows there, so a task
-    that runs again deals its rows alike.
+    depends on its values and on its partition, and its place on the values in its group, not on the order in which
+    rows arrive, so a task that runs again deals and packs its rows alike.
     """
     own = [c for c in pieces.columns if c not in ("sequence_id", "offset", "_group")]
     n_groups = max(1, -(-n_rows // group_rows))
@@ -161,7 +162,8 @@ def pack(
 
     def packed(key: tuple, rows: pa.Table) -> pa.Table:
         sizes = rows.column(length).to_pandas().to_numpy(dtype=float, na_value=0)
-        good = np.flatnonzero(sizes >= 1)
+        order = pc.sort_indices(rows, [(c, "ascending") for c in narrow]).to_numpy()  # not that of arrival
+        good = order[sizes[order] >= 1]
         sequence, offset = best_fit(sizes[good].astype(np.int64), capacity)
         new = pd.DataFrame({"s": None, "o": None}, index=range(len(sizes)), dtype="Int64")
         new.iloc[good, 0] = sequence + (key[0].as_py() << 32)
