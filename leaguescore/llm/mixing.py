@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leaguescore.llm.runtime import BLANK_CHARS, BLANKS
+from leaguescore.llm.runtime import BLANK_CHARS, BLANKS, stored
 
 MAX_SHARDS = 20_000
 WORD_STARTS = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
@@ -95,11 +95,12 @@ def targets(sizes: np.ndarray, mix: Mix) -> np.ndarray:
 def sized(
     docs: DataFrame, key: str, source: str, text: str, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``(key, carry..., source, size)``: words of every text; null is empty."""
+    """``(key, carry..., source, size, text_hash)``: words of every text; null is empty."""
     body = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(BLANK_CHARS))
     size = F.when(body == "", 0).otherwise(F.size(F.split(body, BLANKS)))
     own = list(dict.fromkeys([key, *carry]))
-    return docs.select(*own, F.col(source).alias("source"), size.cast("long").alias("size"))
+    hashed = F.xxhash64(F.col(text)).alias("text_hash")
+    return docs.select(*own, F.col(source).alias("source"), size.cast("long").alias("size"), hashed)
 
 
 def mix_sources(
@@ -114,8 +115,11 @@ def mix_sources(
 
     ``taken`` counts the words that the mix takes, repeats included: at most ``max_repeats``
     times the size. Sources are in code point order, null last. The order in a shard is a hash
-    of the seed, the key and the size, so a run that is repeated takes the same words; rows
-    alike in all three are interchangeable. Empty documents are never taken.
+    of the seed, the key, the size and the text, so a run that is repeated takes the same words; rows
+    alike in all of them are interchangeable, and only they are bound to one shard. Empty documents are never taken.
+    Columns to carry must not have the names of the result's, nor ``text_hash``, ``number``, ``shard``, ``order``,
+    ``n_shards``, ``words``, ``quota``, ``begin``, ``from``, ``to`` and ``taken_words``. Without texts to
+    carry, the texts are read and split once, and all that follows is about narrow rows.
 
     ``taken`` is ``rounds`` times the whole document and the words of ``cuts``, spans
     ``(low, high)`` of word numbers: only documents at the ends of a shard's run are cut.
@@ -123,6 +127,8 @@ def mix_sources(
     spark = docs.sparkSession
     own = list(dict.fromkeys([key, *carry]))
     rows = sized(docs, key, source, text, carry)
+    if text not in own:
+        rows = stored(rows, "sizes")
     found = rows.groupBy("source").agg(F.sum("size").alias("size")).toPandas()  # one per source
     found = found.iloc[
         sorted(
@@ -148,7 +154,7 @@ def mix_sources(
         "number int, source string, source_size long, target double, n_shards int",
     )
     known = F.broadcast(catalogue.withColumnRenamed("source", "name"))
-    order = F.xxhash64(F.lit(mix.seed), F.col(key), F.col("size"))
+    order = F.xxhash64(F.lit(mix.seed), F.col(key), F.col("size"), F.col("text_hash"))
     placed = (
         rows.join(known, F.col("source").eqNullSafe(F.col("name")))
         .drop("name")
@@ -166,7 +172,7 @@ def mix_sources(
         [tuple(map(int, r)) for r in words[["number", "shard", "words", "quota"]].to_numpy()],
         "number int, shard int, words long, quota long",
     )
-    before = Window.partitionBy("number", "shard").orderBy("order", key, "size")
+    before = Window.partitionBy("number", "shard").orderBy("order", key, "size", "text_hash")
     running = F.sum("size").over(before.rowsBetween(Window.unboundedPreceding, 0))
     at = placed.withColumn("begin", running - F.col("size")).join(
         F.broadcast(quotas), ["number", "shard"]
