@@ -28,8 +28,7 @@ from leaguescore.llm.runtime import (
     new_folder,
     partition_count,
     pieces_of,
-    range_of,
-    range_starts,
+    row_cuts,
     texts_of,
 )
 from leaguescore.llm.tokens import encoder
@@ -158,16 +157,17 @@ def write_files(
     text: str = "text",
     special_ids: bool = False,
 ) -> list[dict]:
-    """Encode documents and write them in ascending key order, a file for each key range.
+    """Encode documents and write them in ascending key order, a file for each range of rows.
 
     Returns the manifest, one entry per file: path, documents and ids, ranges ascending.
-    Rows of one key are ordered by text; null keys come last; a null text is empty. A task
+    Rows of one key are ordered by a hash of their texts, and may be in several files; null keys come last; a null text is
+    empty. Keys are whole numbers, or are cast to them. A task
     that is run again writes a file of its own; the manifest names the file of the attempt
     that ended well. With ``special_ids``, text that spells a special token is that token,
     else ordinary text.
     """
     n = partition_count(docs.sparkSession)
-    starts = range_starts(docs, key, n)
+    cuts = row_cuts(docs, key, text, n)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -208,10 +208,10 @@ def write_files(
             yield finished()
 
     order = F.col("k").asc_nulls_last()
-    ranged = docs.select(
-        range_of(F.col(key), starts).alias("range"), F.col(key).cast("long").alias("k"), text
-    )
-    sorted_docs = ranged.repartition(n, "range").sortWithinPartitions("range", order, text)
+    placed = docs.select(cuts.place().alias("at"), F.col(key).cast("long").alias("k"), text)
+    ranged = placed.select(cuts.number(F.col("at")).alias("range"), "k", F.col("at.hash").alias("h"), text)
+    dealt = ranged.repartition(n, "range").sortWithinPartitions("range", order, "h", text)
+    sorted_docs = dealt.select("range", "k", text)
     manifest = map_arrow(sorted_docs, written, "range long, path string, n_docs long, n_ids long")
     rows = (row.asDict() for row in manifest.collect())  # at most one per key range
     return sorted(rows, key=lambda row: row["range"])

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from pathlib import Path
 
 import pyarrow as pa
@@ -21,13 +24,16 @@ BLANK_CHARS = " \t\n\x0b\x0c\r"
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where it is unset, as in tests on one machine, a temporary folder is made and set.
+    Where it is unset, as in tests on one machine, a temporary folder is made and set; on a
+    cluster, where executors would not find it, that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         context = spark.sparkContext
         folder = context.getCheckpointDir()
         if not folder:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='leaguescore-')}")
             folder = context.getCheckpointDir()
     return folder
@@ -141,3 +147,110 @@ def range_of(key: Column, starts: list) -> Column:
     whole = F.struct(F.lit(0).alias("low"), F.lit(last).alias("high"))
     found = F.aggregate(steps, whole, halve)["low"]
     return F.when(key.isNull(), F.lit(last)).otherwise(found)
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Rows of a table that start about equal ranges of it, by key (null last), then a hash of the text.
+
+    ``rows`` are ``(is_null, key, hash)``, ascending; the first is the table's first row.
+    """
+
+    rows: list[tuple[bool, object, int]]
+    key: str
+    text: str
+    kind: str = "long"
+
+    def place(self) -> Column:
+        """Where a row is in the order: a struct that compares as the cuts do."""
+        key, any_key = F.col(self.key), F.lit(self.rows[0][1] if self.rows else None)
+        return F.struct(
+            key.isNull().alias("is_null"),
+            F.coalesce(key, any_key.cast(self.kind)).alias("key"),
+            text_hash(F.col(self.text)).alias("hash"),
+        )
+
+    def may_start(self) -> Column:
+        """Can a row be one of the cuts, by its key alone? A scan can pass over others."""
+        keys = [k for is_null, k, _ in self.rows if not is_null]
+        return F.col(self.key).isin(keys) | F.col(self.key).isNull()
+
+    def table(self) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(is_null).alias("is_null"),
+                    F.lit(key).cast(self.kind).alias("key"),
+                    F.lit(hashed).cast("long").alias("hash"),
+                )
+                for is_null, key, hashed in self.rows
+            ]
+        )
+
+    def number(self, place: Column) -> Column:
+        """Number of the range that a place is in, by binary search."""
+        last = len(self.rows) - 1
+        if last < 1:
+            return F.lit(0)
+        table = self.table()
+
+        def halve(span: Column, _: Column) -> Column:
+            middle = F.ceil((span["low"] + span["high"]) / 2).cast("int")
+            right = F.get(table, middle) <= place
+            return F.struct(
+                F.when(right, middle).otherwise(span["low"]).alias("low"),
+                F.when(right, span["high"]).otherwise(F.greatest(span["low"], middle - 1)).alias("high"),
+            )
+
+        steps = F.array(*[F.lit(i) for i in range(last.bit_length() + 1)])
+        whole = F.struct(F.lit(0).alias("low"), F.lit(last).alias("high"))
+        return F.aggregate(steps, whole, halve)["low"]
+
+
+def text_hash(text: Column) -> Column:
+    """52 bits: quantiles are doubles, which hold them exactly."""
+    return F.shiftright(F.xxhash64(F.coalesce(text, F.lit(""))), 12)
+
+
+def row_cuts(df: DataFrame, key: str, text: str, n: int) -> Cuts:
+    """Cuts of a table into about ``n`` ranges, at most twice as many, that also divide the rows of one key.
+
+    A key that is several of the table's quantiles holds as many shares of it; its rows are cut at quantiles
+    of their texts' hash, and so are rows without a key. One pass reads the key column, a second one the rows of those
+    keys. Only rows alike in key and text stay together. The driver holds the cuts.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    shares = [i / n for i in range(1, n)] or [0.5]
+    found = df.agg(
+        F.min(key).alias("least"),
+        F.percentile_approx(key, shares, max(10_000, 10 * n)).alias("starts"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count(key).alias("known"),
+    ).first()
+    if not found["rows"]:
+        return Cuts([], key, text, kind)
+    parts = Counter((found["starts"] or []) if n > 1 else [])
+    if found["least"] is not None:
+        parts[found["least"]] += 1
+    missing = found["rows"] - found["known"]
+    if missing:
+        parts[None] = max(1, round(n * missing / found["rows"]))
+    least = found["least"]
+    names = [k for k in parts if k is not None]
+    some = df.where(F.col(key).isin(names) | F.col(key).isNull()) if names else df.where(F.col(key).isNull())
+    hashed = some.select(F.col(key).alias("k"), text_hash(F.col(text)).alias("h"))
+    firsts = {r["k"]: r["h"] for r in hashed.groupBy("k").agg(F.min("h").alias("h")).collect()}
+    rows = {(k is None, least if k is None else k, h) for k, h in firsts.items()}
+    hot = {k: m for k, m in parts.items() if m > 1}
+    if hot:
+        most = max(hot.values())
+        wanted = F.col("k").isin([k for k in hot if k is not None])
+        wanted = (wanted | F.col("k").isNull()) if None in hot else wanted
+        cuts = F.percentile_approx("h", [i / most for i in range(1, most)], max(10_000, 10 * most))
+        for r in hashed.where(wanted).groupBy("k").agg(cuts.alias("cuts")).collect():
+            k, m = r["k"], hot[r["k"]]
+            at = [r["cuts"][round(j * most / m) - 1] for j in range(1, m)]
+            rows |= {(k is None, least if k is None else k, h) for h in at}
+    if least is None:  # no key at all: any value stands for the missing ones
+        rows = {(True, 0, h) for _, _, h in rows}
+    return Cuts(sorted(rows), key, text, kind)

@@ -24,8 +24,7 @@ from leaguescore.llm.runtime import (
     map_arrow,
     partition_count,
     pieces_of,
-    range_of,
-    range_starts,
+    row_cuts,
 )
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -145,25 +144,29 @@ def sketches(
 def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Documents in ascending key order within ranges, each range closed by the next one's first.
 
-    Columns ``range``, ``is_context``, ``k``, ``t``. The context row of a range is the
-    first document of the next, of the last range that of the first. The starts of ranges
-    are keys of the table, so which rows to copy is known without another pass.
+    Columns ``range``, ``is_context``, ``k``, ``t``. Rows of one key are in the order of a hash of their texts, so
+    they can be in several ranges. The context row of a range is the first document of the next, of the last range that of
+    the first. Ranges start at rows of the table, so these are found by their key and hash, and one copy of each is sent.
     """
     n = partition_count(docs.sparkSession)
-    starts = range_starts(docs, key, n)
-    own = range_of(F.col(key), starts)
-    here = F.struct(own.alias("range"), F.lit(False).alias("is_context"))
-    before = F.struct(
-        F.pmod(own - 1, F.lit(max(1, len(starts)))).alias("range"), F.lit(True).alias("is_context")
-    )
-    copies = F.array(here)
-    if starts:
-        copies = F.when(F.col(key).isin(starts), F.array(here, before)).otherwise(copies)
-    rows = docs.select(F.explode(copies).alias("at"), F.col(key).alias("k"), F.col(text).alias("t"))
+    cuts = row_cuts(docs, key, text, n)
+
+    def placed(some: DataFrame) -> DataFrame:
+        text_or_empty = F.coalesce(F.col(text), F.lit("")).alias("t")
+        rows = some.select(cuts.place().alias("at"), F.col(key).alias("k"), text_or_empty)
+        return rows.select(cuts.number(F.col("at")).alias("range"), F.lit(False).alias("is_context"), "at", "k", "t")
+
+    rows = placed(docs)
+    if cuts.rows:
+        starts = F.get(cuts.table(), F.col("range"))
+        before = F.pmod(F.col("range") - 1, F.lit(len(cuts.rows))).alias("range")
+        first = placed(docs.where(cuts.may_start())).where(F.col("at") == starts).dropDuplicates(["range"])
+        rows = rows.union(first.select(before, F.lit(True), "at", "k", "t"))
     return (
-        rows.select("at.range", "at.is_context", "k", F.coalesce("t", F.lit("")).alias("t"))
+        rows.select("range", "is_context", "k", F.col("at.hash").alias("h"), "t")
         .repartition(n, "range")
-        .sortWithinPartitions("range", "is_context", F.col("k").asc_nulls_last(), "t")
+        .sortWithinPartitions("range", "is_context", F.col("k").asc_nulls_last(), "h", "t")
+        .select("range", "is_context", "k", "t")
     )
 
 
@@ -174,8 +177,7 @@ def compare_edited(
 
     One row per document: ``key, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next``. The next document has the next higher key, after the last one
-    comes the first. Rows of one key are ordered by text, rows with null keys come last. If no
-    key is known, the last document's next is empty. A null text is empty.
+    comes the first. Rows of one key are ordered by a hash of their texts, rows with null keys come last. A null text is empty.
     """
     kind = docs.schema[key].dataType.simpleString()
     names = [key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"]

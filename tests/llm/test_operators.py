@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -70,6 +71,11 @@ def bag(rows):
     return Counter(map(tuple, rows))
 
 
+def signed_hash(text):
+    value = xxhash.xxh64_intdigest(text.encode(), 42)
+    return (value - (1 << 64) if value >> 63 else value) >> 12
+
+
 def ids_of(name):
     tokenizer = Tokenizer.from_file(public_vocabulary(name))
     tokenizer.encode_special_tokens = True
@@ -456,8 +462,9 @@ def test_ordinal_without_labels(odd, spark):
 
 def test_edited_texts(odd, none):
     rows = sketch.compare_edited(odd).collect()
-    order = sorted(((k, t or "") for k, t in TEXTS if k is not None)) + sorted(
-        (k, t or "") for k, t in TEXTS if k is None
+    order = sorted(
+        ((k, t or "") for k, t in TEXTS),
+        key=lambda row: (row[0] is None, row[0] or 0, signed_hash(row[1]), row[1]),
     )
     how, want = sketch.Scale(), []
     for (k, t), (_, following) in zip(order, [*order[1:], order[0]]):
