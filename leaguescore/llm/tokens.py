@@ -3,7 +3,8 @@
 A byte-pair tokenizer cuts a text into pieces by a fixed pattern and encodes each piece on
 its own, so the ids of a text are those of its pieces, one after another. Corpora repeat
 pieces: a worker keeps what it has encoded, up to ``KEPT`` pieces, and looks up the rest.
-Texts with characters beyond Latin-1, where the pattern's classes are not spelled out here,
+Whether a vocabulary file cuts texts so is tried when it is opened; with one that does not, texts are
+encoded whole. Texts with characters beyond Latin-1, where the pattern's classes are not spelled out here,
 are given to the tokenizer whole, as are those that spell a special token where it has its id.
 """
 
@@ -35,6 +36,11 @@ WORD_END = re.compile(f"{CONTRACTIONS}|[{LETTER}]+|[{NUMBER}]|[^{BLANK}{LETTER}{
 #: Pieces that can be written one after another and are cut in the same places again.
 CHAINS = re.compile(f" [{LETTER}]+")
 BEYOND = re.compile("[^\x00-\xff]")
+#: Text on which a vocabulary file must agree with the pieces above, or its texts are encoded whole.
+PROBE = (
+    "It's what they'd say: I'LL, we've. Don't  stop\n\n\tnow 12 345 6½ x² (a)b--c ... 'quoted' mixedCase ALLCAPS "
+    "naïve Straße ªº µm \x85\xa0 end \x1c\x00# $5.99 user@example.org https://a.b/c?d=e&f  \r\n   tail   "
+)
 
 
 class Encoder:
@@ -51,18 +57,20 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, added))) if special_ids and added else None
         names = self.tokenizer.get_vocab(with_added_tokens=False)
         size = max(self.tokenizer.get_vocab().values()) + 1
+        #: What tells one id from another in files: two bytes if all ids fit.
+        self.width = 2 if size <= 1 << 16 else 4
         self.word_end = any(name.endswith("</w>") for name in names)
         #: Ids that end a piece (word-end vocabulary), or start one (byte-level vocabulary).
         self.marks = np.zeros(size, dtype=bool)
         for name, number in names.items():
             self.marks[number] = name.endswith("</w>") if self.word_end else name[0] == "Ġ"
         self.known: dict[str, bytes] = {}
-        #: What tells one id from another in files: two bytes if all ids fit.
-        self.width = 2 if size <= 1 << 16 else 4
+        self.cuts = True
+        self.cuts = self.encode([PROBE, PROBE[::-1]]) == self.whole([PROBE, PROBE[::-1]])
 
     def pieces(self, text: str) -> list[str] | None:
         """The tokenizer's own pieces; None where the text has to be encoded whole."""
-        if BEYOND.search(text) or self.special and self.special.search(text):
+        if not self.cuts or BEYOND.search(text) or self.special and self.special.search(text):
             return None
         return WORD_END.findall(text.lower()) if self.word_end else BYTE_LEVEL.findall(text)
 

@@ -1,7 +1,9 @@
 """Text that spells a special token, in the queries whose ids are the library's by default."""
 
+import json
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -56,3 +58,17 @@ def test_separator_scan_has_no_separator_from_text(spark, tmp_path):
     tokenizer.encode_special_tokens = True
     want = [(k, len(tokenizer.encode(t or "").ids)) for k, t in enumerate(TEXTS)]
     assert sorted(map(tuple, registry.op3_separator_scan(spark, str(tmp_path)).collect())) == want
+
+
+def test_a_vocabulary_of_other_pieces_is_encoded_whole(tmp_path):
+    """The same merges with a blank put before every text: looked-up pieces would each have one."""
+    plain = json.loads(Path(public_vocabulary(registry.BYTE_BPE)).read_text())
+    plain["pre_tokenizer"] = {**plain["pre_tokenizer"], "add_prefix_space": True}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(plain))
+    other, tokenizer = Encoder(str(path)), Tokenizer.from_file(str(path))
+    texts = ["in 2024 and 1999", "no digits here", "", "a1b22c333"]
+    assert not other.cuts and Encoder(public_vocabulary(registry.BYTE_BPE)).cuts
+    assert Encoder(public_vocabulary(registry.WORD_BPE)).cuts
+    for text, data in zip(texts, other.encode(texts)):
+        assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
