@@ -180,7 +180,9 @@ def build_index(
     must be of a type that sorts; ids of equal vectors may repeat.
     """
     nodes = stored(nodes_of(rows, ids, vector, k + 1), "nodes")
-    sizes = nodes.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("int").alias("shards"))
+    shards = F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("int").alias("shards")
+    sizes = stored(nodes.groupBy("dim").agg(shards), "shard-counts")
+    n_shards = sizes.agg(F.coalesce(F.sum("shards"), F.lit(1))).first()[0]
     hashed = F.pmod(F.xxhash64("vector"), F.col("shards")).cast("int").alias("shard")
     dealt = nodes.join(sizes, "dim").select("dim", hashed, "shards", "vector", "ids")
     kind = rows.schema[ids].dataType.simpleString()
@@ -212,6 +214,7 @@ def build_index(
         )
 
     share_package(rows.sparkSession)
+    dealt = dealt.repartition(3 * n_shards, "dim", "shard")  # few bytes, much work: not to be coalesced
     return dealt.groupBy("dim", "shard").applyInArrow(built, schema)
 
 
