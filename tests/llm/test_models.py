@@ -1,13 +1,15 @@
 """What the fitted operators learn, against plain code and planted truth."""
 
 import math
+import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
 
-from leaguescore.llm import ordinal, sketch, supervision
+from leaguescore.llm import lattice, ordinal, registry, sketch, supervision
+from leaguescore.llm.tokens import public_vocabulary
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -203,3 +205,57 @@ def test_likeness_is_that_of_plain_sets_and_near_the_exact_one(spark, texts):
             for near, other in ((got[k]["near_edited"], hashes[1]), (got[k]["near_next"], hashes[2])):
                 errors.append(abs(near - len(hashes[0] & other) / min(len(hashes[0]), len(other))))
     assert len(errors) > 500 and np.mean(errors) < 0.04 and np.max(errors) < 0.35
+
+
+# Lattice
+
+
+def segmentations(word, number):
+    """All ways to cut a blank and the word's bytes into pieces."""
+    whole = b" " + word
+    found = [[] for _ in range(len(whole) + 1)]
+    found[0] = [()]
+    for end in range(1, len(whole) + 1):
+        for start in range(end):
+            if (piece := number.get(whole[start:end])) is not None:
+                found[end] += [(*before, piece) for before in found[start]]
+    return found[-1]
+
+
+def test_scores_are_those_of_all_segmentations(spark):
+    texts = ["the cat sat", "the dog sat on it", None, "a cat\x0band THE dog", "on on on", "ünï the", "new cat", "it is"]
+    texts += ["so odd a dog", "the end", "", "is it on"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = public_vocabulary(registry.PIECES)
+    got = {r["doc_id"]: r for r in lattice.score(docs, path, rounds=2).collect()}
+
+    pieces, logs = lattice.vocabulary_pieces(path)
+    number, weights = {p: k for k, p in enumerate(pieces)}, np.exp(logs)
+    held_out = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in range(len(texts))}
+    words = {k: (t or "").encode().lower().split() + [b""] for k, t in enumerate(texts)}
+    counts = Counter(w for k, ws in words.items() if not held_out[k] for w in ws)
+    ways = {w: segmentations(w, number) for ws in words.values() for w in ws if w}
+    for _ in range(2):
+        uses = np.full(len(pieces), 0.5)
+        for word in counts:
+            if word:
+                shares = [math.prod(weights[list(way)]) for way in ways[word]]
+                for way, share in zip(ways[word], shares):
+                    for piece in way:
+                        uses[piece] += share / sum(shares)
+        weights = uses / uses.sum()
+    n, v = sum(counts.values()), len(counts)
+    once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
+    discount = (once + 0.5) / (once + 2 * twice + 1)
+
+    def probability(word):
+        spelt = sum(math.prod(weights[list(way)]) for way in ways[word]) if word else 0.0
+        return max(counts[word] - discount, 0) / n + discount * v / n * spelt
+
+    assert any(held_out.values()) and not all(held_out.values())
+    for k, ws in words.items():
+        row = got[k]
+        assert (row["held_out"], row["n_tokens"], row["train_tokens"]) == (held_out[k], len(ws), n)
+        assert row["n_known"] == sum(counts[w] > 0 for w in ws)
+        assert math.isclose(row["score"], sum(math.log10(probability(w)) for w in ws), rel_tol=1e-9)
+        assert math.isclose(row["base_score"], sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws), rel_tol=1e-9)
