@@ -8,6 +8,8 @@ import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -39,9 +41,33 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Folders made within ``own_tables``.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def own_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Folders of the shared folder that are made within are removed at its end, and no others.
+
+    Whatever is to last must have been written elsewhere by then: frames made within read these folders.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        for folder in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

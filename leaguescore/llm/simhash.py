@@ -5,7 +5,9 @@ bit changes one count by one, so the Manhattan distance of two embeddings is at
 distance of their fingerprints. The segments form 8 grid dimensions of four; if the whole
 distance is at most ``d``, at least ``8 - d`` dimensions are equal, so every pair to be found
 shares a grid cell over some ``8 - d`` dimensions. Pairs that share a cell are held against the
-lower bound, then against the exact distance. Nothing is capped.
+lower bound, then against the exact distance. Nothing is capped. Chance pairs in cells grow with the
+square of the table, so large tables have a finer grid of 16 dimensions, with 26 times the cells at four bits and a
+hundredth of the pairs; the links are the same.
 
 A dense group has as many pairs as the square of its fingerprints. So those that differ within
 one four-bit nibble only, which are linked for certain, are connected first, through one common
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 from leaguescore.llm.components import components
 from leaguescore.llm.runtime import bytes_of, map_arrow, pieces_of, stored
 
-DIMENSIONS = 8
+#: Dimensions of the grid, and of the finer one, which is for so many distinct fingerprints and more.
+DIMENSIONS, FINER, FINER_FROM = 8, 16, 5_000_000
 SEED = 42
 #: Shingles whose bits are counted at once.
 AT_ONCE = 1 << 15
@@ -100,46 +103,51 @@ def manhattan(a: Column, b: Column) -> Column:
     return F.bit_count(low) + 2 * F.bit_count(high)
 
 
-def grid_cells(nodes: DataFrame, distance: int) -> DataFrame:
+def dimension_mask(d: int, dimensions: int) -> int:
+    width = 64 // dimensions
+    return ((1 << width) - 1) << (width * d)
+
+
+def grid_cells(nodes: DataFrame, distance: int, dimensions: int = DIMENSIONS) -> DataFrame:
     """Every fingerprint once for each choice of dimensions, with its cell there."""
-    cells = []
-    for chosen in combinations(range(DIMENSIONS), DIMENSIONS - distance):
-        mask = sum(0xFF << (8 * d) for d in chosen)
-        choice = sum(1 << d for d in chosen)
-        cells.append(
+    chosen = combinations(range(dimensions), dimensions - distance)
+    choices = F.array(
+        *[
             F.struct(
-                F.lit(choice).cast("short").alias("choice"),
-                F.col("counts").bitwiseAND(literal(mask)).alias("cell"),
+                F.lit(sum(1 << d for d in some)).alias("choice"),
+                literal(sum(dimension_mask(d, dimensions) for d in some)).alias("mask"),
             )
-        )
+            for some in chosen
+        ]
+    )  # a constant, whatever its length
     counted = nodes.withColumn("counts", segment_counts(F.col("fingerprint")))
-    return counted.select("*", F.explode(F.array(*cells)).alias("at")).select(
-        *nodes.columns, "counts", "at.choice", "at.cell"
-    )
+    spread = counted.select("*", F.explode(choices).alias("at"))
+    cell = F.col("counts").bitwiseAND(F.col("at.mask")).alias("cell")
+    return spread.select(*nodes.columns, "counts", "at.choice", cell)
 
 
-def first_choice(a: Column, b: Column, choice: Column) -> Column:
+def first_choice(a: Column, b: Column, choice: Column, dimensions: int = DIMENSIONS) -> Column:
     """Is this the first of the choices in which the pair shares a cell? Each pair counts once."""
     x = a.bitwiseXOR(b)
     same = F.lit(0)
-    for d in range(DIMENSIONS):
-        equal = x.bitwiseAND(literal(0xFF << (8 * d))) == 0
+    for d in range(dimensions):
+        equal = x.bitwiseAND(literal(dimension_mask(d, dimensions))) == 0
         same = same + F.when(equal, 1 << d).otherwise(0)
-    below = F.lit((1 << DIMENSIONS) - 1)
-    for d in reversed(range(DIMENSIONS)):  # up to the highest dimension chosen
-        fits = choice.cast("int") < F.lit(1 << (d + 1))
+    below = F.lit((1 << dimensions) - 1)
+    for d in reversed(range(dimensions)):  # up to the highest dimension chosen
+        fits = choice < F.lit(1 << (d + 1))
         below = F.when(fits, F.lit((1 << (d + 1)) - 1)).otherwise(below)
-    return same.bitwiseAND(below) == choice.cast("int")
+    return same.bitwiseAND(below) == choice
 
 
-def links(nodes: DataFrame, distance: int) -> DataFrame:
+def links(nodes: DataFrame, distance: int, dimensions: int = DIMENSIONS) -> DataFrame:
     """Pairs ``(a, b)`` of groups with fingerprints at most ``distance`` bits apart.
 
     ``nodes`` has ``fingerprint`` (distinct) and ``grp``; pairs within a group are not made.
     """
-    if not 0 <= distance < DIMENSIONS:
-        raise ValueError(f"the grid finds distances of 0 to {DIMENSIONS - 1} bits")
-    cells = grid_cells(nodes, distance)
+    if not 0 <= distance < dimensions:
+        raise ValueError(f"the grid finds distances of 0 to {dimensions - 1} bits")
+    cells = grid_cells(nodes, distance, dimensions)
     left, right = cells.alias("l"), cells.alias("r")
     close = (
         (F.col("l.choice") == F.col("r.choice"))
@@ -151,7 +159,7 @@ def links(nodes: DataFrame, distance: int) -> DataFrame:
             F.bit_count(F.col("l.fingerprint").bitwiseXOR(F.col("r.fingerprint")))
             <= distance
         )
-        & first_choice(F.col("l.counts"), F.col("r.counts"), F.col("l.choice"))
+        & first_choice(F.col("l.counts"), F.col("r.counts"), F.col("l.choice"), dimensions)
     )
     return left.join(right, close).select(
         F.least("l.grp", "r.grp").alias("a"), F.greatest("l.grp", "r.grp").alias("b")
@@ -190,7 +198,8 @@ def classes(prints: DataFrame, distance: int = 4, key: str = "doc_id") -> DataFr
         joined = nodes.join(tight, F.col("fingerprint") == F.col("node"), "left")
         grouped = joined.select("fingerprint", F.coalesce("label", "fingerprint").alias("grp"))
     grouped = stored(grouped, "groups")
-    wide = components(links(grouped, distance))
+    finer = distance < DIMENSIONS and grouped.count() >= FINER_FROM
+    wide = components(links(grouped, distance, FINER if finer else DIMENSIONS))
     labels = grouped.join(wide, F.col("grp") == F.col("node"), "left").select(
         "fingerprint", F.coalesce("label", "grp").alias("label")
     )
