@@ -24,10 +24,14 @@ NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
 @dataclass(frozen=True)
 class Dimension:
-    """A frame to join to, and whether its measured size allows a broadcast."""
+    """A frame to join to, and whether its measured size allows a broadcast.
+
+    ``rows`` is its measured number of rows or more, 0 where it was not measured.
+    """
 
     frame: DataFrame
     fits: bool
+    rows: int = 0
 
     def side(self, frame: DataFrame) -> DataFrame:
         """Mark a projection of the dimension for the join strategy it is fit for."""
@@ -52,8 +56,14 @@ def measured(df: DataFrame | Dimension, limit: int = BROADCAST_BYTES) -> Dimensi
         return df
     if any(isinstance(f.dataType, NESTED) for f in df.schema):
         return Dimension(df, False)
-    size = df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("size")).first()["size"]
-    return Dimension(df, size <= limit)
+    size = F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("size")
+    found = df.agg(size, F.count(F.lit(1)).alias("rows")).first()
+    return Dimension(df, found["size"] <= limit, found["rows"])
+
+
+def counted(df: DataFrame | Dimension) -> Dimension:
+    """A frame with its number of rows only, for a join that is no broadcast; a ``Dimension`` is passed through."""
+    return df if isinstance(df, Dimension) else Dimension(df, False, df.count())
 
 
 def attach(
@@ -67,6 +77,26 @@ def attach(
     return facts.join(side, F.col(key).eqNullSafe(F.col(other)), how).drop(other)
 
 
+def attach_in_shares(
+    facts: DataFrame, matches: DataFrame, key: str, other: str, shares: int
+) -> DataFrame:
+    """Left join for facts with many matches each, where a missing key matches a missing key.
+
+    Adaptive execution sizes tasks by the bytes read, so a few megabytes of facts are one task, however many rows
+    it makes of them. Here facts are dealt in turn to ``shares``, whatever their keys, and each share has its copy of
+    the matches. The number of partitions is given, so adaptive execution does not put them together again.
+    """
+
+    def keyed(rows: DataFrame, name: str, share: Column) -> DataFrame:
+        text = F.coalesce(F.col(name), F.lit(""))
+        return rows.withColumns({"_key": text, "_missing": F.col(name).isNull(), "_share": share})
+
+    keys = ["_key", "_missing", "_share"]
+    dealt = keyed(facts.repartition(shares), key, F.spark_partition_id()).repartition(shares, *keys)
+    copies = keyed(matches, other, F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    return dealt.join(copies, keys, "left").drop(*keys)
+
+
 def join_teams(facts: DataFrame, teams: DataFrame | Dimension, *columns: str) -> DataFrame:
     """Left join of the named team columns on ``team_abbr``."""
     dim = measured(teams)

@@ -12,6 +12,8 @@ from leaguescore.functions import is_not, true_if_missing
 from leaguescore.operators.joins import (
     Dimension,
     attach,
+    attach_in_shares,
+    counted,
     measured,
     people_dimension,
     with_people,
@@ -54,6 +56,9 @@ PLAYER_PICK_COLUMNS = (
     "position_type",
 )
 
+#: Picks of any kind to a share in ``score_defense_picks``; a roster has one defense in 14.
+SHARE_PICKS = 16_384
+
 
 @dataclass(frozen=True)
 class League:
@@ -90,12 +95,17 @@ def score_defense_picks(picks: DataFrame | Dimension, scored: DataFrame) -> Data
     All picks stay, so they cannot be the side that Spark broadcasts, whatever their size. To send them to the
     scored rows and then add the picks that found none would evaluate the scored rows twice. So picks are the left
     side of one join: adaptive execution sends the scored rows to them where those are small, and splits hot teams
-    where they are not.
+    where they are not. Each pick gets all rows of its team, a thousand and more. Measured picks that are many are
+    therefore dealt to shares by their number, as their bytes say nothing of that.
     """
-    frame = picks.frame if isinstance(picks, Dimension) else picks
+    frame, count = (picks.frame, picks.rows) if isinstance(picks, Dimension) else (picks, 0)
     chosen = defense_picks(frame).withColumnRenamed("team_abbr", "picked_team")
     rows = scored.where(F.col("player_id") == NO_PLAYER)
-    joined = chosen.join(rows, F.col("picked_team").eqNullSafe(F.col("team_abbr")), "left")
+    if count > SHARE_PICKS:
+        shares = -(-count // SHARE_PICKS)
+        joined = attach_in_shares(chosen, rows, "picked_team", "team_abbr", shares)
+    else:
+        joined = chosen.join(rows, F.col("picked_team").eqNullSafe(F.col("team_abbr")), "left")
     return (
         joined.withColumn("team_abbr", F.col("picked_team"))
         .withColumn("subsequently_traded", true_if_missing(F.col("subsequently_traded")))
@@ -105,7 +115,9 @@ def score_defense_picks(picks: DataFrame | Dimension, scored: DataFrame) -> Data
 
 def scored_report(picks: DataFrame, scored: DataFrame) -> DataFrame:
     """The report over scored rows from anywhere, a stored table for example."""
-    return union_all(score_player_picks(picks, scored), score_defense_picks(picks, scored))
+    return union_all(
+        score_player_picks(picks, scored), score_defense_picks(counted(picks), scored)
+    )
 
 
 def all_scored_stats(

@@ -25,7 +25,7 @@ from leaguescore.functions import (
 )
 from leaguescore.operators import quality
 from leaguescore.operators.events import count_events, events_of
-from leaguescore.operators.joins import Dimension, describe_players, join_teams, measured, people_dimension
+from leaguescore.operators.joins import Dimension, counted, describe_players, join_teams, measured, people_dimension
 from leaguescore.operators.reshape import melt, melt_scored, points_against, union_all
 from leaguescore.plans import bonuses, dimensions, report, rosters, stats
 from leaguescore.rules import (
@@ -358,7 +358,7 @@ def score_player_picks(spark, sf_dir):
 def score_defense_picks(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
     scored = stats.points_allowed(inputs.view("v_games"), SEASONS, inputs.teams())
-    return report.score_defense_picks(inputs.picks(), scored)
+    return report.score_defense_picks(counted(inputs.picks()), scored)
 
 
 @query

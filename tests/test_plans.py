@@ -239,6 +239,38 @@ def test_hot_team_of_defense_picks_is_split(spark, conf):
     assert "SortMergeJoin(skew=true)" in plan_of(df)
 
 
+def test_measured_defense_picks_are_dealt_by_their_number(spark, monkeypatch):
+    """A few kilobytes of picks with many rows each are many tasks; copies, a hot team and missing keys do no harm."""
+    n, a_team = 6_000, 40
+    monkeypatch.setattr(report, "SHARE_PICKS", 200, raising=False)
+    picks = spark.range(0, n, 1, 1).select(
+        F.lit("O 1").alias("fantasy_owner"),
+        F.when(F.col("id") % 2 == 0, "copy").otherwise(F.col("id").cast("string")).alias("fantasy_team"),
+        F.lit("x").alias("player_id"),
+        F.lit(14).alias("roster_index"),
+        F.lit("Defense").alias("position_type"),
+        F.lit("D").alias("position_code"),
+        F.when(F.col("id") % 3 == 0, "T00")
+        .when(F.col("id") % 101 != 1, F.concat(F.lit("T"), F.col("id") % 9))
+        .alias("team_abbr"),
+    )
+    row = dict.fromkeys(SCORED_SCHEMA.fieldNames())
+    scored = spark.createDataFrame(
+        [
+            tuple({**row, "team_abbr": t, "player_id": NO_PLAYER, "stat_label": f"s{i}"}.values())
+            for t in ("T00", "T1", "T2", "", None)
+            for i in range(a_team)
+        ],
+        SCORED_SCHEMA,
+    )
+    df = report.score_defense_picks(measured(picks), scored)
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 15 and max(sizes) < sum(sizes) / 4
+    plain = report.score_defense_picks(picks, scored)
+    assert sum(sizes) == plain.count() > n * a_team / 3
+    assert df.exceptAll(plain).isEmpty() and plain.exceptAll(df).isEmpty()
+
+
 def test_counts_of_a_hot_credit_are_combined_before_the_shuffle(spark):
     plan = plan_of(QUERIES["bonus_defense"](spark, SF_DIR))
     before = plan[plan.index("Exchange hashpartitioning") :]
