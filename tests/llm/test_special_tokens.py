@@ -1,6 +1,7 @@
 """Text that spells a special token, in the queries whose ids are the library's by default."""
 
 import json
+import random
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -10,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from leaguescore.llm import registry
-from leaguescore.llm.tokens import Encoder, public_vocabulary
+from leaguescore.llm.tokens import BYTE_LEVEL, Encoder, byte_level_cuts, public_vocabulary
 
 TEXTS = [
     "plain text",
@@ -72,3 +73,32 @@ def test_a_vocabulary_of_other_pieces_is_encoded_whole(tmp_path):
     assert Encoder(public_vocabulary(registry.WORD_BPE)).cuts
     for text, data in zip(texts, other.encode(texts)):
         assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_texts_cut_at_once_have_the_pieces_of_the_pattern():
+    draw = random.Random(3)
+    parts = ["'", "'s", "'re", "'ll", "'d", " ", "  ", "\n", "\t", "\xa0", "\x85", "s", "re", "Q", "é", "12", "½", ".", "--", "\0"]
+    texts = ["", "'", "l'l", *["".join(draw.choices(parts, k=draw.randrange(20))) for _ in range(20_000)], " "]
+    pieces, ends = byte_level_cuts(texts)
+    found, at = [p.decode("latin-1") for p in pieces.to_pylist()], 0
+    for text, end in zip(texts, ends.tolist()):
+        assert found[at:end] == BYTE_LEVEL.findall(text), repr(text)
+        at = end + 1
+    assert at == len(found)
+
+
+def test_a_batch_learns_each_piece_once_and_looks_up_no_repeat(monkeypatch):
+    own, asked = Encoder(public_vocabulary(registry.BYTE_BPE)), []
+    learn = own.learn
+    monkeypatch.setattr(own, "learn", lambda pieces: (asked.append(len(pieces)), learn(pieces)))
+    own.known = CountedLookups(own.known)
+    assert own.encode(["one two one two " * 500, "two one"]) == own.whole(["one two one two " * 500, "two one"])
+    assert own.known.lookups < 50 and sum(asked) < 10
+
+
+class CountedLookups(dict):
+    lookups = 0
+
+    def __getitem__(self, key):
+        self.lookups += 1
+        return super().__getitem__(key)
