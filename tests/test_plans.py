@@ -11,7 +11,7 @@ from leaguescore.operators.events import count_events, events_of
 from leaguescore.operators.joins import Dimension, describe_players, measured
 from leaguescore.operators import quality
 from leaguescore.plans import report, rosters
-from leaguescore.plans.bonuses import plays
+from leaguescore.plans.bonuses import plays, shared_counts
 from leaguescore.registry import QUERIES, Inputs
 from leaguescore.rules import DEFENSE_EVENTS, OFFENSE_EVENTS
 from leaguescore.schemas import NO_PLAYER, SCORED_SCHEMA
@@ -59,6 +59,16 @@ def test_all_event_rules_take_one_scan_and_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_event_rules_have_methods_that_java_compiles(spark, conf):
+    """Java leaves methods of over 8,000 bytes interpreted: events then took four times the CPU time."""
+    conf(adaptive__enabled="false")  # generated code is only there once a plan is final
+    counts = shared_counts(Inputs(spark, SF_DIR).plays())
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    code = debug.codegenString(counts._jdf.queryExecution().executedPlan())
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(-?\d+)", code)]
+    assert sizes and 0 < min(sizes) and max(sizes) < 8000
+
+
 @pytest.mark.parametrize("name", ["offense_stats", "kicker_stats", "defense_points_allowed"])
 def test_dimensions_are_broadcast_to_the_facts(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
