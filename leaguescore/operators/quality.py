@@ -36,34 +36,46 @@ def codes_seen(code: str) -> Column:
 
 
 def sheet_facts(sheets: DataFrame) -> DataFrame:
-    """What the checks need to know of each sheet, in one aggregation.
+    """What the checks need to know of each sheet, from one pass over the rows.
 
     Sheets scanned from files have a mark, ``is_row``, that is false where a file has no rows: such a sheet
-    has its facts too, with a count of zero. The distinct counts are over structs, in which a missing value
-    counts as one more value. They are computed on (sheet, value) keys before the sheet's rows
-    meet, so a sheet of any length is spread over tasks.
+    has its facts too, with a count of zero. A missing value counts as one more distinct value. Every row is taken
+    twice, by its id and by its team name, and grouped by (sheet, value) before the sheet's rows meet, so a sheet of
+    any length is spread over tasks. The two groupings are written out here: Spark's own plan for two distinct
+    counts puts them in an order that changes from use to use, so that uses of one frame of picks do not share it.
     """
     columns = [c for c in sheets.columns if c not in SHEET_MARKS]
-    scanned = [F.bool_and("columns_ok").alias("columns")] if "columns_ok" in sheets.columns else []
+    scanned = "columns_ok" in sheets.columns
     is_row = F.col("is_row") if "is_row" in sheets.columns else F.lit(True)
     any_null = F.expr(" OR ".join(f"`{name}` IS NULL" for name in columns))
+    by_name, real = F.col("_by_name"), F.col("_rows") > 0
 
     def among(condition: Column) -> Column:
-        return F.count_if(is_row & condition)
-
-    return sheets.groupBy("sheet").agg(
-        F.count_if(is_row).alias("n_rows"),
-        F.count_distinct(F.when(is_row, F.struct("player_id"))).alias("n_ids"),
-        F.count_distinct(F.when(is_row, F.struct("fantasy_team"))).alias("n_names"),
-        F.coalesce(
-            F.min(F.when(F.col("roster_index") == 2, F.col("fantasy_team"))),
-            F.min("fantasy_team"),
-        ).alias("team_name"),
+        return F.count_if(~by_name & is_row & condition)
+
+    both = sheets.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("_by_name"))
+    values = both.groupBy(
+        "sheet",
+        "_by_name",
+        F.when(~by_name, F.col("player_id")).alias("_id"),
+        F.when(by_name, F.col("fantasy_team")).alias("_name"),
+    ).agg(
+        F.count_if(is_row).alias("_rows"),
+        F.count_if(F.col("roster_index") == 2).alias("_second"),
         codes_seen("position_code").alias("codes"),
         among(not_in(F.col("position_code"), MINIMUM_POSITIONS)).alias("n_extra"),
         among(not_in(F.col("position_code"), MINIMUM_POSITIONS + EXTRA_POSITIONS)).alias("n_foreign"),
         among(any_null).alias("n_null"),
-        *scanned,
+        *([F.bool_and("columns_ok").alias("columns")] if scanned else []),
+    )
+    return values.groupBy("sheet").agg(
+        F.sum(F.when(by_name, 0).otherwise(F.col("_rows"))).alias("n_rows"),
+        F.count_if(~by_name & real).alias("n_ids"),
+        F.count_if(by_name & real).alias("n_names"),
+        F.coalesce(F.min(F.when(F.col("_second") > 0, F.col("_name"))), F.min("_name")).alias("team_name"),
+        F.bit_or("codes").alias("codes"),
+        *[F.sum(name).alias(name) for name in ("n_extra", "n_foreign", "n_null")],
+        *([F.bool_and("columns").alias("columns")] if scanned else []),
     )
 
 

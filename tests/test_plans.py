@@ -2,8 +2,10 @@
 
 import re
 import tempfile
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguescore.functions import in_seasons
@@ -111,6 +113,16 @@ def test_valid_sheets_take_one_scan(spark):
     assert scans_of(plan, "customer") == 1 and "Join" not in plan
 
 
+@pytest.mark.parametrize("uses", [2, 5])
+def test_uses_of_picks_share_the_check_of_the_sheets(spark, conf, uses):
+    """Rows of the sheets are taken by their two values, and checked, once for all uses of the picks."""
+    conf(adaptive__enabled="false")  # exchanges are shared when the plan is made
+    picks = rosters.consolidate(Inputs(spark, SF_DIR).sheets(), on_violation="drop")
+    parts = [picks.where(F.col("roster_index") == n).select("player_id") for n in range(uses)]
+    plan = plan_of(reduce(DataFrame.union, parts))
+    assert len(re.findall(r"(?:Generate explode|Expand )", plan)) == 1
+
+
 def test_picks_are_measured_without_a_check_of_the_sheets(spark):
     sheets = Inputs(spark, SF_DIR).sheets()
 
