@@ -33,8 +33,8 @@ GROUPS, ORDER = 16, (5, 4, 1, 3, 14, 9, 15, 2, 12, 8, 13, 7, 0, 6, 11, 10)
 TOP, TRIE_WORDS, LEAF = 5, 20_000, 4
 #: Distinct words that a task counts before it hands them on.
 HELD_WORDS = 400_000
-#: A subtree's number: its counts weighed by powers of this.
-BASE = 1_000_003
+#: A subtree's number: its counts weighed by powers of this, modulo a power of two, so that sums of two numbers stay in 64 bits.
+BASE, RING = 1_000_003, 1 << 61
 
 
 def runs_of(text: bytes) -> Counter[str]:
@@ -98,14 +98,14 @@ def vectors(some: list[str]) -> np.ndarray:
 
 
 def powers() -> np.ndarray:
-    return np.array([pow(BASE, i) % (1 << 61) for i in range(1, TOP + 1)], np.int64)
+    return np.array([pow(BASE, i, RING) for i in range(1, TOP + 1)], np.int64)
 
 
 def moves() -> np.ndarray:
-    """What the budgets can add to a subtree's number, from the side whose first differing count is smaller."""
+    """What the budgets can add to a subtree's number, modulo ``RING``, from the side whose first differing count is smaller."""
     p = powers()
     up_and_down = [p[i] - p[j] for i in range(TOP) for j in range(i + 1, TOP)]
-    return np.array([0, *p, *up_and_down], np.int64)
+    return np.array([0, *p, *up_and_down], np.int64) % RING
 
 
 def subtrees(rows: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def subtrees(rows: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 top = vectors(batch.column(0).to_pylist())[:, :TOP]
-                own = (top * powers()).sum(axis=1)
+                own = (top * powers()).sum(axis=1) & (RING - 1)  # 64 bits that wrap are right in the low ones
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], names=["word", "n", "subtree"])
 
     return map_arrow(rows.select("word", "n"), numbered, "word string, n long, subtree long")
@@ -257,7 +257,8 @@ def near_counts(rows: DataFrame, trie_words: int = TRIE_WORDS) -> DataFrame:
     sizes = stored(placed.groupBy("subtree").agg(parts), "subtree-sizes")
     part = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
     kept = placed.join(sizes, "subtree").select("subtree", part.alias("part"), F.lit(0).alias("looks"), "word", "n")
-    reach = F.explode(F.array(*[F.col("subtree") + F.lit(int(m)) for m in moves()])).alias("subtree")
+    reached = [(F.col("subtree") + F.lit(int(m))).bitwiseAND(F.lit(RING - 1)) for m in moves()]
+    reach = F.explode(F.array(*reached)).alias("subtree")
     looking = placed.select(reach, "word", "n").join(sizes, "subtree")
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     looking = looking.select("subtree", every, F.lit(1).alias("looks"), "word", "n")

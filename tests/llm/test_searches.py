@@ -219,6 +219,15 @@ def test_words_of_odd_rows(spark):
     assert {r["word"]: r["n"] for r in got.collect()} == plain_words(docs)
 
 
+def test_words_of_one_letter_many_times(spark):
+    """The number of their subtree, and of those near it, passes 64 bits."""
+    words = [x * n for x in "aqncsetd" for n in (5, 6, 8, 9, 10, 11, 20, 21, 60, 61)]
+    words += [w + end for w in words for end in ("ns", "b")]
+    counts = {w: 3 + i * i % 57 for i, w in enumerate(words)}
+    got = variants_of(spelling.variants(spark.createDataFrame(list(counts.items()), "word string, n long")))
+    assert got == plain_variants(counts)
+
+
 def alphabet_words(n):
     random.seed(n)
     letters = "abcdeéÿqu"
