@@ -143,7 +143,8 @@ def first_choice(a: Column, b: Column, choice: Column, dimensions: int = DIMENSI
 def links(nodes: DataFrame, distance: int, dimensions: int = DIMENSIONS) -> DataFrame:
     """Pairs ``(a, b)`` of groups with fingerprints at most ``distance`` bits apart.
 
-    ``nodes`` has ``fingerprint`` (distinct) and ``grp``; pairs within a group are not made.
+    ``nodes`` has ``fingerprint`` (distinct) and ``grp``; pairs within a group are not made. The join is never a broadcast:
+    Spark sizes cells by the table, without the 70 and more that the explode makes of each row.
     """
     if not 0 <= distance < dimensions:
         raise ValueError(f"the grid finds distances of 0 to {dimensions - 1} bits")
@@ -161,7 +162,7 @@ def links(nodes: DataFrame, distance: int, dimensions: int = DIMENSIONS) -> Data
         )
         & first_choice(F.col("l.counts"), F.col("r.counts"), F.col("l.choice"), dimensions)
     )
-    return left.join(right, close).select(
+    return left.join(right.hint("merge"), close).select(
         F.least("l.grp", "r.grp").alias("a"), F.greatest("l.grp", "r.grp").alias("b")
     )
 

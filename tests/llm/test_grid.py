@@ -36,6 +36,17 @@ def test_links_are_those_of_all_pairs(spark, distance, dimensions):
     assert got == wanted and (wanted or not distance)
 
 
+@pytest.mark.parametrize("dimensions", [simhash.DIMENSIONS, simhash.FINER])
+def test_cells_are_never_broadcast(spark, dimensions):
+    """However small the stored table is: its cells are 70 and more for each row, which Spark does not know."""
+    nodes, _ = near(spark, 5)
+    found = simhash.links(stored(nodes, "nodes"), 4, dimensions)
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 1 << 20
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_the_finer_grid_makes_fewer_chance_pairs(spark):
     random.seed(1)
     rows = [(simhash.signed(random.getrandbits(64)),) * 2 for _ in range(3000)]
