@@ -1,10 +1,13 @@
 """Ranked lexical search by Block-Max MaxScore over shards of an inverted index.
 
 A shard is a run of documents of bounded size. Its posting lists are cut into blocks of 64 postings,
-each compressed on its own. A block's entry in the shard's directory, which is not compressed, has
+each compressed on its own. A block's entry in the shard's directory, which is expanded when the shard is opened, has
 the shortest document for each term frequency, from which its greatest score follows for any
 corpus statistics; so shards are built before these are known, and never rebuilt for them.
 
+A shard is a row of megabytes, of which Spark would hold a hundred in a task that writes or reads them. So the
+directory is kept compressed in it, and a stored index has one row in each of its row groups.
+
 A search takes a shard's documents in windows of ascending keys. Lists are ordered by their greatest score;
 those whose sum cannot pass the shard's tenth score are not essential: only the others yield
 candidates. A candidate stays only while its score so far and the greatest scores of the blocks
@@ -22,11 +25,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from leaguescore.llm.runtime import bytes_of, map_arrow, pieces_of, stored
+from leaguescore.llm.runtime import bytes_of, map_arrow, pieces_of, small_batches, stored
 from leaguescore.operators.joins import measured
 
 #: Everything in ASCII but digits and letters separates terms.
@@ -35,7 +39,7 @@ TO_BLANKS = bytes.maketrans(SEPARATORS, b" " * len(SEPARATORS))
 #: Postings of a block; term frequencies that a block's entry tells apart, the last for all above.
 BLOCK, LEVELS = 64, 4
 #: Bytes of text of a shard; of a long text that are split at once; of query terms of one pass.
-SHARD_BYTES, SLICE_BYTES, QUERY_BYTES = 16 << 20, 4 << 20, 16 << 20
+SHARD_BYTES, SLICE_BYTES, QUERY_BYTES = 8 << 20, 4 << 20, 16 << 20
 #: Blocks that are compressed at once.
 BLOCKS_AT_ONCE = 4096
 NO_DOCUMENT = np.iinfo(np.int32).max
@@ -192,7 +196,8 @@ def build_index(
             "counts": pa.array([shard.df.astype(np.int32)], pa.list_(pa.int32())),
         }
         for name, dtype in SHARD_ARRAYS.items():
-            columns[name] = pa.array([np.ascontiguousarray(getattr(shard, name), dtype).tobytes()])
+            flat = np.ascontiguousarray(getattr(shard, name), dtype).tobytes()
+            columns[name] = pa.array([zstandard.compress(flat)])
         columns["blob"] = pa.array([shard.blob], pa.binary())
         return pa.RecordBatch.from_pydict(columns)
 
@@ -206,7 +211,7 @@ def build_index(
             if texts and held + size > shard_bytes:
                 yield row(keys, texts)
                 keys, texts, held = [], [], 0
-            keys.append(batch.column(0))
+            keys.append(batch.column(0).take(pa.array(np.arange(batch.num_rows))))  # a slice would hold the texts
             texts += some
             held += size
         if texts:
@@ -215,16 +220,26 @@ def build_index(
     return map_arrow(docs.select(key, text), sharded, schema)
 
 
+def opened(batch: pa.RecordBatch, i: int, wanted: pa.Array) -> dict:
+    """A row of an index for ``Reader``, with the numbers of the terms that are wanted."""
+    row = {n: zstandard.decompress(batch.column(n)[i].as_buffer()) for n in SHARD_ARRAYS}
+    places = pc.index_in(wanted, value_set=batch.column("terms")[i].values).to_pylist()
+    number = {t: at for t, at in zip(wanted.to_pylist(), places) if at is not None}
+    return {**row, "blob": batch.column("blob")[i].as_buffer(), "number": number}
+
+
 class Reader:
-    """Lists of a shard for given corpus statistics; each block is decompressed once at most."""
+    """Lists of a shard for given corpus statistics; each block is decompressed once at most.
+
+    ``row`` has the shard's ``terms``, or the ``number`` of those that will be asked for.
+    """
 
     def __init__(self, row: dict, n_docs: int, n_terms: int):
         for name, dtype in SHARD_ARRAYS.items():
             setattr(self, name, np.frombuffer(row[name], dtype))
         self.shortest = self.shortest.reshape(-1, LEVELS)
         self.blob = row["blob"]
-        self.terms: list[bytes] = row["terms"]
-        self.number = {t: i for i, t in enumerate(self.terms)}
+        self.number = row["number"] if "number" in row else {t: i for i, t in enumerate(row["terms"])}
         # Python integers: the product may pass 64 bits for very long documents
         self.m = np.array([10 + 90 * n * n_docs // n_terms for n in self.lengths.tolist()], np.int64)
         blocks = -(-self.df // BLOCK)
@@ -411,12 +426,12 @@ def search(
         def searched(
             batches: Iterator[pa.RecordBatch], queries: dict = dict(queries)
         ) -> Iterator[pa.RecordBatch]:
+            wanted = pa.array(sorted({term for query in queries.values() for term, _ in query}), pa.binary())
             kth: dict[object, list[int]] = defaultdict(list)  # the best scores of the shards so far
             for batch in batches:
                 for i in range(batch.num_rows):
-                    row = {n: batch.column(n)[i].as_py() for n in ("terms", "blob", *SHARD_ARRAYS)}
                     keys = batch.column("keys")[i].values
-                    reader = Reader(row, n_docs, n_terms)
+                    reader = Reader(opened(batch, i, wanted), n_docs, n_terms)
                     names, docs, scores = [], [], []
                     for name, query in queries.items():
                         seen = kth[name]
@@ -430,7 +445,8 @@ def search(
                     columns = [pa.array(names, item_type), keys.take(pa.array(rows)), pa.array(values)]
                     yield pa.RecordBatch.from_arrays(columns, names=[item, key, "score"])
 
-        results.append(map_arrow(index.drop("n_docs", "n_terms", "counts"), searched, schema))
+        with small_batches(spark):
+            results.append(stored(map_arrow(index.drop("n_docs", "n_terms", "counts"), searched, schema), "found"))
     found = results[0]
     for more in results[1:]:
         found = found.union(more)
@@ -439,4 +455,6 @@ def search(
 
 def ranked(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     """``search`` over an index of ``docs`` that is written for it; an empty table gives no rows."""
-    return search(stored(build_index(docs), "index"), items, k)
+    with small_batches(docs.sparkSession):
+        index = stored(build_index(docs), "index", group_rows=1)
+    return search(index, items, k)

@@ -70,17 +70,36 @@ def own_tables(spark: SparkSession) -> Iterator[list[str]]:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, group_rows: int | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: the plan starts anew there.
 
     Unlike a local checkpoint it outlives every executor, and scans read only
-    the columns that they need.
+    the columns that they need. Writers and readers hold a group of rows at a time, which parquet
+    measures from the hundredth row on only; tables of rows of megabytes give its ``group_rows``.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if group_rows:
+        writer = writer.option("parquet.block.row.count.limit", group_rows)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> Iterator[None]:
+    """What is run within hands Python batches of about ``size`` bytes, one row at least, for Spark's 64 MB.
+
+    Both sides hold a batch or two, and Spark's buffers double as they fill. Any size gives the same rows.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def share_package(spark: SparkSession) -> None:
     """Let workers import this package from where the driver has it."""
     env = spark.sparkContext.environment

@@ -1,5 +1,6 @@
 """Ranked search, spelling variants and nearest neighbours, against plain code."""
 
+import functools
 import math
 import random
 import re
@@ -7,12 +8,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from leaguescore.llm import nearest, ranking, spelling
 from leaguescore.llm.registry import QUERIES
-from leaguescore.llm.runtime import stored
+from leaguescore.llm.runtime import map_arrow, own_tables, small_batches, stored
 
 SF_DIR = "/root/testdata/sf0.001"
 LONG = "lorem ipsum dolor sit amet, " * 6000
@@ -167,6 +170,42 @@ def test_ranking_of_empty_tables(spark):
     assert empty.isEmpty() and empty.columns == ["item_id", "rank", "doc_id", "score"]
 
 
+def test_a_stored_index_has_a_shard_in_each_row_group(spark, monkeypatch):
+    """Writers and readers hold a row group: with all shards of a task in one, memory grows with the tasks."""
+    docs = spark.createDataFrame([(i, f"fox w{i} den") for i in range(60)], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    monkeypatch.setattr(ranking, "build_index", functools.partial(ranking.build_index, shard_bytes=100))
+    with own_tables(spark) as made:
+        found = ranking_of(ranking.ranked(docs, items))
+        index = next(folder for folder in made if "/index-" in folder)
+        groups = [
+            m.row_group(i).num_rows
+            for f in pq.ParquetDataset(index.removeprefix("file:")).fragments
+            for m in [f.metadata]
+            for i in range(m.num_row_groups)
+        ]
+    assert len(groups) > 6 and set(groups) == {1}
+    assert [key for key, _ in found[1]] == list(range(10)) and None in found
+
+
+def test_small_batches_are_small_and_leave_the_setting(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows] * batch.num_rows})
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    rows = spark.range(40, numPartitions=1).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    with small_batches(spark, 3000):
+        got = [r["n"] for r in map_arrow(rows, sizes, "n long").collect()]
+    assert len(got) == 40 and max(got) <= 4 and spark.conf.get(name) == before
+    spark.conf.set(name, "1000000")
+    with pytest.raises(ZeroDivisionError), small_batches(spark):
+        1 / 0
+    assert spark.conf.get(name) == "1000000"
+    spark.conf.unset(name)
+
+
 # Spelling variants
 
 
