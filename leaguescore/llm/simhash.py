@@ -188,7 +188,8 @@ def classes(prints: DataFrame, distance: int = 4, key: str = "doc_id") -> DataFr
     """``(key, fingerprint, component_id)`` of every row: its class by linked fingerprints.
 
     ``component_id`` is the smallest key of the class. Rows with null keys belong to
-    classes too; a class of such rows only has a null id.
+    classes too; a class of such rows only has a null id. Tables of a row for each document are joined by merging: Spark
+    sizes them by their compressed files, a fraction of what they are in the driver as a broadcast.
     """
     prints = stored(prints, "fingerprints")
     nodes = prints.select("fingerprint").distinct()
@@ -205,10 +206,10 @@ def classes(prints: DataFrame, distance: int = 4, key: str = "doc_id") -> DataFr
         "fingerprint", F.coalesce("label", "grp").alias("label")
     )
     least = prints.groupBy("fingerprint").agg(F.min(key).alias("least"))
-    placed = stored(least.join(labels, "fingerprint"), "placed")
+    placed = stored(least.join(labels.hint("merge"), "fingerprint"), "placed")
     smallest = placed.groupBy("label").agg(F.min("least").alias("component_id"))
-    ids = placed.join(smallest, "label").select("fingerprint", "component_id")
-    return prints.join(ids, "fingerprint").select(key, "fingerprint", "component_id")
+    ids = placed.join(smallest.hint("merge"), "label").select("fingerprint", "component_id")
+    return prints.join(ids.hint("merge"), "fingerprint").select(key, "fingerprint", "component_id")
 
 
 def hex_digits(fingerprint: Column) -> Column:

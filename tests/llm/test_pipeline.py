@@ -42,6 +42,19 @@ def test_one_document_of_each_group_stays(staged):
     assert staged["near_duplicates"].count() == classes.component_id.nunique()
 
 
+def test_no_row_for_each_document_is_broadcast(spark, staged, monkeypatch):
+    """Spark sizes cells and stored tables far below what they are in the driver."""
+    made, links, classes = [], simhash.links, simhash.classes
+    monkeypatch.setattr(simhash, "links", lambda *a: made.append(links(*a)) or made[-1])
+    monkeypatch.setattr(simhash, "classes", lambda *a, **b: made.append(classes(*a, **b)) or made[-1])
+    stored(corpus_pipeline.near_duplicates(spark, staged["quality_classifier"], SF_DIR), "found")
+    assert len(made) == 2
+    for df in made:
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_mix_takes_effect(staged):
     before = staged["near_duplicates"]
     taken = {r["doc_id"]: r["taken"] for r in mixing.mix_sources(before).collect()}
